@@ -178,4 +178,5 @@ def normalised(df: DataFrame, text: str, zone: Column, order: Column) -> DataFra
     instant = F.concat(F.date_from_unix_date(F.floor(F.col("_utc") / 86400).cast("int")).cast("string"), F.lit("T"), part(86400, 3600), F.lit(":"), part(3600, 60), F.lit(":"), part(60, 1), F.lit("Z"))
     status = F.when(F.col("_utc").isNotNull() | F.col("_day").isNotNull(), "ok").when(F.col("_local").isNull(), "unread").when(F.col("_spans").isNull(), "no_zone").when(n > 1, "ambiguous").otherwise("nonexistent")
     keep = [F.col(f"`{c}`") for c in df.columns]
-    return x.select(*keep, F.coalesce(instant, F.date_from_unix_date("_day").cast("string")).alias("normal"), status.alias("status"))
+    # a generator: filters on the outcome stay above it
+    return x.select(*keep, F.inline(F.array(F.struct(F.coalesce(instant, F.date_from_unix_date("_day").cast("string")).alias("normal"), status.alias("status")))))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,14 +11,14 @@ from ..functions.text import fold, squeeze
 
 # How a currency is written, after folding.
 CURRENCIES = {
-    "USD": ["us dollars", "us dollar", "abd dolari", "amerikan dolari", "us\\$", "usd", "dollars", "dollar", "dolar", "\\$"],
+    "USD": ["us dollars", "us dollar", "abd dolari", "amerikan dolari", "us$", "usd", "dollars", "dollar", "dolar", "$"],
     "EUR": ["euros", "euro", "eur", "avro", "€"],
     "GBP": ["british pounds", "pounds sterling", "pounds", "pound", "sterling", "sterlin", "gbp", "£"],
     "TRY": ["turk lirasi", "turkish lira", "lira", "try", "tl", "₺"],
     "JPY": ["japanese yen", "yen", "jpy", "円", "¥", "￥"],
-    "CHF": ["isvicre frangi", "swiss francs", "schweizer franken", "franken", "chf", "sfr\\.?", "fr\\."],
+    "CHF": ["isvicre frangi", "swiss francs", "schweizer franken", "franken", "chf", "sfr.", "sfr", "fr."],
     "AED": ["dirhams", "dirham", "dirhem", "aed"],
-    "INR": ["indian rupees", "rupees", "rupee", "inr", "rs\\.?", "₹"],
+    "INR": ["indian rupees", "rupees", "rupee", "inr", "rs.", "rs", "₹"],
 }
 # Scale words after folding.
 SCALES = {
@@ -42,17 +44,14 @@ LEAST = 1_000  # no stated sum is below so many units of its currency
 
 
 def _words(xs: list[str]) -> str:
-    return "|".join(sorted(xs, key=len, reverse=True))
+    return "|".join(re.sub(r"([.$])", r"\\\1", x) for x in sorted(xs, key=len, reverse=True))
 
 
 def currency(c: Column) -> Column:
     """The currency code that a folded text names, the first in it; null if none. Letters beside it must not continue the word."""
     every = _words([w for ws in CURRENCIES.values() for w in ws])
-    hit = F.regexp_extract(c, f"(?<![a-z])({every})(?![a-z])", 1)
-    out = F.lit(None).cast("string")
-    for code, words in CURRENCIES.items():
-        out = F.when(hit.rlike(f"^({_words(words)})$"), code).otherwise(out)
-    return F.when(hit != "", out)
+    codes = F.create_map(*(F.lit(x) for code, ws in CURRENCIES.items() for w in ws for x in (w, code)))
+    return F.try_element_at(codes, F.regexp_extract(c, f"(?<![a-z])({every})(?![a-z])", 1))
 
 
 def _scale(word: Column) -> Column:
@@ -116,7 +115,8 @@ def readings(df: DataFrame, amount: str, code: str, notes: str, rates: DataFrame
     cents = lambda v: v * F.col("_scale") * F.col("_rate") * 100
     ok = F.filter("_cands", lambda v: (v * F.col("_scale") >= LEAST) & (F.abs(cents(v) - F.round(cents(v))) < 1e-3))
     x = x.withColumn("_ok", F.when(stated & F.col("_rate").isNotNull(), ok))
-    best = F.try_element_at("_ok", F.lit(1))
+    x = x.withColumn("_best", F.explode_outer(F.slice("_ok", 1, 1)))  # a generator: filters on the outcome stay above it
+    best = F.col("_best")
     usd = best * F.col("_scale") * F.col("_rate")
     res = F.when((F.col(evidence) > 0) & (usd > 0), F.log10(usd / F.col(evidence))) if evidence else F.lit(None).cast("double")
     keep = [F.col(f"`{c}`") for c in df.columns]
