@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_missing
 from ..plans.registry import Registry
-from ..session import table
-from . import canonical
+from ..session import checkpointed, table
+from . import canonical, golden, names
 
 R = Registry()
 
@@ -89,3 +89,56 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 def p2_unmatched(spark: SparkSession, d: str) -> DataFrame:
     """The values that fit no entry, with their frequency."""
     return _mapped(spark, d).filter("ref_id = 0").groupBy("field", "value").agg(F.count("*").alias("n_rows"))
+
+
+def _entities(spark: SparkSession, d: str, tabs: tuple[str, ...] = ("startups", "investors")) -> DataFrame:
+    null = F.lit(None).cast("string")
+    out = None
+    if "startups" in tabs:
+        out = table(spark, d, "startups").select(F.lit("startups").alias("tab"), "id", F.col("company_name").alias("name"), F.col("legal_business_name").alias("legal"), "website", F.col("crunchbase_url").alias("crunchbase"), F.col("first_seen").alias("seen"))
+    if "investors" in tabs:
+        v = table(spark, d, "investors").select(F.lit("investors").alias("tab"), F.col("investor_id").alias("id"), F.col("investor_name").alias("name"), null.alias("legal"), "website", null.alias("crunchbase"), null.alias("seen"))
+        out = v if out is None else out.unionByName(v)
+    for c in ("legal", "website", "crunchbase", "seen"):
+        out = out.withColumn(c, F.when(~is_missing(F.col(c)), F.col(c)))
+    return names.linked(out)
+
+
+@R.add("p3_found")
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    e = checkpointed(_entities(spark, d))
+    many = e.groupBy("tab", "entity").agg(F.count("*").alias("n")).filter("n > 1").select("tab", "entity")
+    e = e.join(many, ["tab", "entity"])
+    a, b = e.select("tab", "entity", F.col("id").alias("id_a")), e.select("tab", "entity", F.col("id").alias("id_b"))
+    return a.join(b, ["tab", "entity"]).filter("id_a < id_b").select("tab", "id_a", "id_b")
+
+
+@R.add("p3_entities")
+def p3_entities(spark: SparkSession, d: str) -> DataFrame:
+    """The entity of each row (its smallest profile's id) and how many rows share it."""
+    e = checkpointed(_entities(spark, d))
+    return e.join(e.groupBy("tab", "entity").agg(F.count("*").alias("n_rows")), ["tab", "entity"])
+
+
+def _companies(spark: SparkSession, d: str) -> DataFrame:
+    """startups with group_id, the smallest id of the company's records; only companies with two or more."""
+    e = checkpointed(_entities(spark, d, ("startups",)))
+    groups = e.groupBy("entity").agg(F.min("id").alias("group_id"), F.count("*").alias("n")).filter("n > 1").select("entity", "group_id")
+    return table(spark, d, "startups").join(e.join(groups, "entity").select("id", "group_id"), "id")
+
+
+@R.add("p1_found")
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = golden.with_instant(_companies(spark, d).select("id", "group_id", "data_confidence", "last_updated"), "last_updated", "at")
+    order = [golden.trust(F.col("data_confidence")).desc_nulls_last(), F.col("at").desc_nulls_last(), F.col("id").asc()]
+    return golden.kept(rows, "group_id", order, "id").select("group_id", F.col("id").alias("kept_id"))
+
+
+@R.add("p1_golden")
+def p1_golden(spark: SparkSession, d: str) -> DataFrame:
+    """One built record per company, each field from the most trusted, then most complete, then latest record that fills it."""
+    fields = ["company_name", "legal_business_name", "website", "crunchbase_url", "description", "city", "founders", "founded_year", "Investors", "Tech_Mentioned", "business_model", "Category", "first_seen"]
+    rows = golden.with_instant(_companies(spark, d), "last_updated", "at")
+    second = F.unix_timestamp(F.try_to_timestamp(F.substring("at", 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")))
+    order = F.struct(-F.coalesce(golden.trust(F.col("data_confidence")), F.lit(-1)), -golden.completeness(fields), -F.coalesce(second, F.lit(-(1 << 40))), F.col("id"))
+    return golden.merged(rows, "group_id", fields, order)
