@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import is_missing
 from ..plans.registry import Registry
 from ..session import checkpointed, table
-from . import canonical, golden, names
+from . import canonical, golden, names, tokens
 
 R = Registry()
 
@@ -142,3 +142,8 @@ def p1_golden(spark: SparkSession, d: str) -> DataFrame:
     second = F.unix_timestamp(F.try_to_timestamp(F.substring("at", 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")))
     order = F.struct(-F.coalesce(golden.trust(F.col("data_confidence")), F.lit(-1)), -golden.completeness(fields), -F.coalesce(second, F.lit(-(1 << 40))), F.col("id"))
     return golden.merged(rows, "group_id", fields, order)
+
+
+@R.add("p8_ids")
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.encoded(table(spark, d, "documents").select("doc_id", "text"))
