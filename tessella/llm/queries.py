@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import is_missing
 from ..plans.registry import Registry
 from ..session import checkpointed, table
-from . import canonical, golden, names, tokens
+from . import canonical, golden, leakage, names, tokens
 
 R = Registry()
 
@@ -147,3 +147,16 @@ def p1_golden(spark: SparkSession, d: str) -> DataFrame:
 @R.add("p8_ids")
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encoded(table(spark, d, "documents").select("doc_id", "text"))
+
+
+@R.add("p9_found")
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return leakage.leaks(docs, table(spark, d, "eval_items")).select("doc_id", "item_id").distinct()
+
+
+@R.add("p9_items")
+def p9_items(spark: SparkSession, d: str) -> DataFrame:
+    """Per item: how many documents give it away, how many of them by a run at most, and the longest share."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return leakage.leaks(docs, table(spark, d, "eval_items")).groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"), F.max("n_runs").alias("most_runs"))
