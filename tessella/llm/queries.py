@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import is_missing
 from ..plans.registry import Registry
 from ..session import checkpointed, table
-from . import canonical, golden, leakage, names, tokens
+from . import abuse, canonical, golden, leakage, names, tokens
 
 R = Registry()
 
@@ -160,3 +160,17 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     """Per item: how many documents give it away, how many of them by a run at most, and the longest share."""
     docs = table(spark, d, "documents").select("doc_id", "text")
     return leakage.leaks(docs, table(spark, d, "eval_items")).groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"), F.max("n_runs").alias("most_runs"))
+
+
+@R.add("p10_found")
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.scored(table(spark, d, "documents")).filter(F.col("score") >= abuse.THRESHOLD).select("doc_id")
+
+
+@R.add("p10_rates")
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Per source: documents, those reported, and their share."""
+    docs = table(spark, d, "documents")
+    bad = abuse.scored(docs).filter(F.col("score") >= abuse.THRESHOLD).select("doc_id", F.lit(1).alias("bad"))
+    rows = docs.select("doc_id", "source").join(bad, "doc_id", "left")
+    return rows.groupBy("source").agg(F.count("*").alias("n_docs"), F.count("bad").alias("n_reported")).withColumn("share", F.round(F.col("n_reported") / F.col("n_docs"), 6))
