@@ -65,19 +65,16 @@ def _round_entries(ref: DataFrame) -> DataFrame:
 
 def _mapped(spark: SparkSession, d: str) -> DataFrame:
     """(field, row_id, value, ref_id, score) of every value that is neither missing nor written as its entry."""
-    out = None
-    for field, t, name, ref, entries, pieces in (
-        ("city", "startups", "city", table(spark, d, "ref_cities"), _city_entries, _city_pieces),
-        ("round_type", "investments", "round_type", table(spark, d, "ref_rounds"), _round_entries, _round_pieces),
-    ):
-        rows = table(spark, d, t).select(F.lit(field).alias("field"), F.col("id").alias("row_id"), F.col(name).alias("value")).filter(~is_missing(F.col("value")))
-        written = ref.select(F.col("city_name" if field == "city" else "round_type").alias("value")).distinct()
-        rows = rows.join(F.broadcast(written), "value", "left_anti")  # a reference list of fixed size
-        m = canonical.assigned(rows, entries(ref), pieces)
-        # one row per distinct value; frequent values are hot keys, so the lookup is broadcast if it is small
-        part = rows.join(F.broadcast(m) if canonical.small_enough(m, 50_000) else m, "value")
-        out = part if out is None else out.unionByName(part)
-    return out
+    cities, rounds = table(spark, d, "ref_cities"), table(spark, d, "ref_rounds")
+    rows = table(spark, d, "startups").select(F.lit("city").alias("field"), F.col("id").alias("row_id"), F.col("city").alias("value"))
+    rows = rows.unionByName(table(spark, d, "investments").select(F.lit("round_type").alias("field"), F.col("id").alias("row_id"), F.col("round_type").alias("value")))
+    written = cities.select(F.lit("city").alias("field"), F.col("city_name").alias("value")).unionByName(rounds.select(F.lit("round_type").alias("field"), F.col("round_type").alias("value")))
+    rows = rows.filter(~is_missing(F.col("value"))).join(F.broadcast(written), ["field", "value"], "left_anti")  # reference lists of fixed size
+    entries = _city_entries(cities).withColumn("field", F.lit("city")).unionByName(_round_entries(rounds).withColumn("field", F.lit("round_type")))
+    pieces = F.when(F.col("field") == "city", _city_pieces(F.col("value"))).otherwise(_round_pieces(F.col("value")))
+    m = checkpointed(canonical.assigned(rows, entries, pieces))
+    # one row per distinct value; frequent values are hot keys, so the lookup is broadcast if it is small
+    return rows.join(F.broadcast(m) if canonical.small_enough(m, 50_000) else m, ["field", "value"])
 
 
 @R.add("p2_found")
