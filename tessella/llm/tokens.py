@@ -77,7 +77,7 @@ def cuts(text: str) -> list[int]:
     return out
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=20_000)
 def _agrees(path: str, left: str, right: str) -> bool:
     e = encoder(path)
     return e.encode_ordinary(left + right) == e.encode_ordinary(left) + e.encode_ordinary(right)
@@ -108,18 +108,25 @@ def chunks(text: str, path: str) -> list[str]:
     return out
 
 
+def _few(parts: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]:
+    """The rows n at a time: what a worker holds does not grow with the size of a batch."""
+    for p in parts:
+        for at in range(0, len(p), n):
+            yield p.iloc[at : at + n]
+
+
 def encoded(docs: DataFrame, path: str = f"{FOLDER}/{VOCABULARY}") -> DataFrame:
     """(doc_id, ids) for each row of docs(doc_id, text): the ids of the text without special tokens.
 
     Null and empty texts have an empty list; their strings of special tokens are ordinary text; a repeated row gives a
-    repeated row. Chunks that several documents share are encoded once: places are gathered per batch and chunk before
-    the shuffle, so a chunk of every document costs a row a batch. Lone surrogates are encoded as U+FFFD.
+    repeated row. Chunks that several documents share are encoded once: places are gathered per thousand documents and
+    chunk before the shuffle, so a chunk of every document costs a row a thousand. Lone surrogates are encoded as U+FFFD.
     """
     key = F.when(F.length("text") > 0, F.xxhash64("doc_id", "text"))
     keyed = docs.select("doc_id", key.alias("k"), "text")
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
+        for p in _few(parts, 1000):
             places: dict[str, list] = defaultdict(list)
             for k, text in zip(p["k"], p["text"], strict=True):
                 for pos, c in enumerate(chunks(text, path)):
@@ -128,8 +135,8 @@ def encoded(docs: DataFrame, path: str = f"{FOLDER}/{VOCABULARY}") -> DataFrame:
 
     def encode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         e = encoder(path)
-        for p in parts:
-            yield pd.DataFrame({"h": p["h"], "ids": [e.encode_ordinary(c) for c in p["chunk"]]})
+        for p in _few(parts, 2000):
+            yield pd.DataFrame({"h": p["h"], "ids": [np.array(e.encode_ordinary(c), dtype=np.int32) for c in p["chunk"]]})
 
     cut_up = checkpointed(keyed.filter("k is not null").select("k", "text").mapInPandas(cut, "h binary, chunk string, ks array<bigint>, poss array<int>"))
     once = cut_up.groupBy("h").agg(F.first("chunk").alias("chunk")).mapInPandas(encode, "h binary, ids array<int>")
