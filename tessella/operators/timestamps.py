@@ -79,11 +79,9 @@ def _intervals(names: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["zone", "year", "spans"])
 
 
-def zone_intervals(spark: SparkSession, zones: DataFrame) -> DataFrame:
-    """(zone, year, spans): for each name in zones(zone) its local-time spans of constant UTC offset, per local year."""
-    known = sorted(z for z in available_timezones() if "/" in z or z == "UTC")
-    names = spark.createDataFrame([(z, z.lower()) for z in known], "name string, zone string")
-    names = names.join(zones.select(F.lower("zone").alias("zone")).distinct(), "zone", "left_semi").select("name")
+def zone_intervals(spark: SparkSession, zones: list[str]) -> DataFrame:
+    """(zone, year, spans): for each zone its local-time spans of constant UTC offset, per local year; zone in lower case."""
+    names = spark.createDataFrame([(z,) for z in zones], "name string").repartition(8)
     return names.mapInPandas(_intervals, "zone string, year int, spans array<struct<since:bigint,until:bigint,offset:bigint>>")
 
 
@@ -92,50 +90,50 @@ def _lookup(words: list[str], key: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), key)
 
 
+ORDER = "y m d n a b H M S p z".split()
+
+
 def taken_apart(text: Column) -> Column:
-    """struct(s, week, p): the folded text without weekday, the weekday, and the pieces of the first notation that fits the whole text (null if none does)."""
+    """struct(s, week, p): the folded text without weekday, the weekday, and the pieces of the first notation that fits
+    the whole text, its name first and then those of ORDER (null if none fits). One regular expression a notation."""
     s = F.regexp_replace(fold(squeeze(text)), "^[\"']+|[\"']+$", "")
     names = "|".join(sorted((n for w in WEEKDAYS for n in w.split()), key=len, reverse=True))
-    week = F.regexp_extract(s, f"^({names})\\.?,? (?=\\d|[a-z])", 1)
-    s = F.regexp_replace(s, f"^({names})\\.?,? (?=\\d|[a-z])", "")
-    empty = {k: F.lit("") for k in "y m d n a b H M S p z".split()}
-
-    def pieces(name: str) -> Column:
-        pattern, groups = NOTATIONS[name]
-        got = empty | {g: F.regexp_extract(s, pattern, i + 1) for i, g in enumerate(groups.split())}
-        return F.struct(F.lit(name).alias("via"), *(v.alias(k if k.islower() else k + k) for k, v in got.items()))
-
+    lead = f"^({names})\\.?,? (?=\\d|[a-z])"
+    bare = F.regexp_replace(s, lead, "")
     chain = None
-    for name, (pattern, _) in NOTATIONS.items():
-        chain = F.when(s.rlike(pattern), pieces(name)) if chain is None else chain.when(s.rlike(pattern), pieces(name))
-    return F.struct(s.alias("s"), week.alias("week"), chain.alias("p"))
+    for name, (pattern, groups) in NOTATIONS.items():
+        at = {g: f"${i + 1}" for i, g in enumerate(groups.split())}
+        got = F.regexp_replace(bare, pattern, "|".join([name, *(at.get(g, "") for g in ORDER)]))
+        chain = F.when(bare.rlike(pattern), got) if chain is None else chain.when(bare.rlike(pattern), got)
+    return F.struct(bare.alias("s"), F.regexp_extract(s, lead, 1).alias("week"), F.split(chain, "\\|").alias("p"))
 
 
-def normalised(df: DataFrame, text: str, zone: Column, order: Column) -> DataFrame:
+def normalised(df: DataFrame, text: str, zone: Column, order: Column, zones: bool = True) -> DataFrame:
     """df with (normal, status): a UTC instant `YYYY-MM-DDThh:mm:ssZ` or a day `YYYY-MM-DD`.
 
     order (`DMY`, `MDY` or null) settles all-numeric dates that could be read both ways; null leaves those unread.
     zone: the zone of times without one, an IANA name or minutes east of UTC as text, or null. status: `ok`,
     `ambiguous` (a local time that happens twice), `nonexistent` (one that is skipped), `no_zone`, `unread` (not one
     full real date: partial, relative, impossible, missing), in which case normal is null. Null, empty and very long
-    texts are `unread`. Other columns, whatever their names, stay as they are. No row is shuffled: the offset spans
+    texts are `unread`. zones=False saves the table of zones where no zone has a name; a named one is `no_zone` then. Other columns, whatever their names, stay as they are. No row is shuffled: the offset spans
     are looked up as of the local time in a table of zone and year.
     """
     num = lambda c: F.when(c != "", c).cast("int")
     x = df.withColumn("_t", F.when(F.length(text) <= 100, F.col(text))).withColumn("_zone", zone).withColumn("_order", order)
     x = x.withColumn("_r", taken_apart(F.col("_t")))
-    p, s = F.col("_r.p"), F.col("_r.s")
+    s = F.col("_r.s")
+    p = {g: F.col("_r.p")[i] for i, g in enumerate(["via", *ORDER])}
     a, b = num(p["a"]), num(p["b"])
     day_first = F.when(a > 12, True).when(b > 12, False).when(a == b, True).when(F.col("_order") == "DMY", True).when(F.col("_order") == "MDY", False)
     year = num(p["y"])
     year = F.when(F.length(p["y"]) == 2, year + 2000).otherwise(year)
     numeric = p["via"] == "numeric"
     x = x.withColumn("_y", year).withColumn("_m", F.when(numeric, F.when(day_first, b).otherwise(F.when(~day_first, a))).when(p["n"] != "", _lookup(MONTHS, p["n"])).otherwise(num(p["m"]))).withColumn("_d", F.when(numeric, F.when(day_first, a).otherwise(F.when(~day_first, b))).otherwise(num(p["d"])))
-    hour = num(p["HH"])
+    hour = num(p["H"])
     h12 = hour.between(1, 12)
     hour = F.when(p["p"] == "pm", F.when(h12, hour % 12 + 12)).when(p["p"] == "am", F.when(h12, hour % 12)).otherwise(hour)
-    timed = p["HH"] != ""
-    x = x.withColumn("_timed", timed).withColumn("_h", F.when(timed, hour)).withColumn("_mi", F.when(timed, num(p["MM"]))).withColumn("_s", F.when(timed, F.coalesce(num(p["SS"]), F.lit(0))))
+    timed = p["H"] != ""
+    x = x.withColumn("_timed", timed).withColumn("_h", F.when(timed, hour)).withColumn("_mi", F.when(timed, num(p["M"]))).withColumn("_s", F.when(timed, F.coalesce(num(p["S"]), F.lit(0))))
     leap = (F.col("_y") % 4 == 0) & ((F.col("_y") % 100 != 0) | (F.col("_y") % 400 == 0))
     most = F.when(F.col("_m").isin(4, 6, 9, 11), 30).when(F.col("_m") == 2, F.when(leap, 29).otherwise(28)).otherwise(31)
     real = F.col("_y").between(1, 9999) & F.col("_m").between(1, 12) & (F.col("_d") >= 1) & (F.col("_d") <= most)
@@ -164,11 +162,14 @@ def normalised(df: DataFrame, text: str, zone: Column, order: Column) -> DataFra
     minutes = F.when(z != "", given).when(own, F.col("_zone").cast("int"))
     x = x.withColumn("_epoch", epoch).withColumn("_minutes", F.when(named.isNull(), minutes)).withColumn("_named", F.lower(F.when(named.isNotNull(), named).when((z == "") & ~own, F.col("_zone"))))
     x = x.withColumn("_lookup", F.when(F.col("_local").isNotNull() & F.col("_minutes").isNull(), F.col("_named"))).withColumn("_year", F.year(F.date_from_unix_date("_days")))
-    spark = df.sparkSession
-    # all zones of the public tz database: a list of fixed size
-    every = spark.createDataFrame([(n,) for n in sorted(available_timezones()) if "/" in n and not n.startswith(("Etc/", "SystemV/", "posix/", "right/")) or n == "UTC"], "zone string").repartition(8)
-    spans = zone_intervals(spark, every).withColumnsRenamed({"zone": "_zk", "year": "_zy", "spans": "_spans"})
-    x = x.join(F.broadcast(spans), (F.col("_lookup") == F.col("_zk")) & (F.col("_year") == F.col("_zy")), "left")
+    if zones:
+        spark = df.sparkSession
+        # all zones of the public tz database: a list of fixed size
+        every = [n for n in sorted(available_timezones()) if "/" in n and not n.startswith(("Etc/", "SystemV/", "posix/", "right/")) or n == "UTC"]
+        spans = zone_intervals(spark, every).withColumnsRenamed({"zone": "_zk", "year": "_zy", "spans": "_spans"})
+        x = x.join(F.broadcast(spans), (F.col("_lookup") == F.col("_zk")) & (F.col("_year") == F.col("_zy")), "left")
+    else:
+        x = x.withColumn("_spans", F.lit(None).cast("array<struct<since:bigint,until:bigint,offset:bigint>>"))
     x = x.withColumn("_at", F.filter("_spans", lambda v: (F.col("_local") >= v["since"]) & (F.col("_local") < v["until"])))
     n = F.size("_at")
     utc = F.coalesce(F.col("_epoch"), F.col("_local") - F.col("_minutes") * 60, F.when(n == 1, F.col("_local") - F.col("_at")[0]["offset"]))
