@@ -117,7 +117,7 @@ def kind_of(name: Column, text: Column) -> Column:
 def confidence(site: Column, context: Column, funded: Column, passes: Column, age: Column) -> Column:
     """0-100: a point per ten characters of site (to 35, none if parked) and context (to 30), 20 for funding, 5 a pass (to 15), less a point a week after 90 days (to 20)."""
     zero = F.lit(0)
-    of = lambda c, most: F.coalesce(F.least(F.lit(most), F.floor(F.length(c) / 10)), zero)
+    of = lambda c, most: F.least(F.lit(most), F.floor(F.coalesce(F.length(c), zero) / 10))
     score = F.when(has_any(F.lower(site), PARKED), 0).otherwise(of(site, 35)) + of(context, 30) + F.when(funded, 20).otherwise(0) + F.least(passes * 5, F.lit(15))
     score = score - F.when(age > 90, F.least(F.floor((age - 90) / 7), F.lit(20))).otherwise(0)
     return F.greatest(zero, F.least(score, F.lit(100))).cast("int")

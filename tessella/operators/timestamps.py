@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import fold, squeeze
+from ..session import packed, unpacked
 
 # Month names without accents; the place in the list is the month.
 MONTHS = [
@@ -115,11 +116,12 @@ def normalised(df: DataFrame, text: str, zone: Column, order: Column, zones: boo
     zone: the zone of times without one, an IANA name or minutes east of UTC as text, or null. status: `ok`,
     `ambiguous` (a local time that happens twice), `nonexistent` (one that is skipped), `no_zone`, `unread` (not one
     full real date: partial, relative, impossible, missing), in which case normal is null. Null, empty and very long
-    texts are `unread`. zones=False saves the table of zones where no zone has a name; a named one is `no_zone` then. Other columns, whatever their names, stay as they are. No row is shuffled: the offset spans
+    texts are `unread`. zones=False saves the table of zones where no zone has a name; a named one is `no_zone` then. Other columns stay as they are, whatever
+    their names; ones named like a result give way to it. No row is shuffled: the offset spans
     are looked up as of the local time in a table of zone and year.
     """
     num = lambda c: F.when(c != "", c).cast("int")
-    x = df.withColumn("_t", F.when(F.length(text) <= 100, F.col(text))).withColumn("_zone", zone).withColumn("_order", order)
+    x = packed(df, _t=F.when(F.length(text) <= 100, F.col(text)), _zone=zone, _order=order)
     x = x.withColumn("_r", taken_apart(F.col("_t")))
     s = F.col("_r.s")
     p = {g: F.col("_r.p")[i] for i, g in enumerate(["via", *ORDER])}
@@ -178,6 +180,5 @@ def normalised(df: DataFrame, text: str, zone: Column, order: Column, zones: boo
     part = lambda per, size: F.lpad(F.floor(F.pmod(F.col("_utc"), F.lit(per)) / size).cast("string"), 2, "0")
     instant = F.concat(F.date_from_unix_date(F.floor(F.col("_utc") / 86400).cast("int")).cast("string"), F.lit("T"), part(86400, 3600), F.lit(":"), part(3600, 60), F.lit(":"), part(60, 1), F.lit("Z"))
     status = F.when(F.col("_utc").isNotNull() | F.col("_day").isNotNull(), "ok").when(F.col("_local").isNull(), "unread").when(F.col("_spans").isNull(), "no_zone").when(n > 1, "ambiguous").otherwise("nonexistent")
-    keep = [F.col(f"`{c}`") for c in df.columns]
     # a generator: filters on the outcome stay above it
-    return x.select(*keep, F.inline(F.array(F.struct(F.coalesce(instant, F.date_from_unix_date("_day").cast("string")).alias("normal"), status.alias("status")))))
+    return x.select(*unpacked(x, df, "normal", "status"), F.inline(F.array(F.struct(F.coalesce(instant, F.date_from_unix_date("_day").cast("string")).alias("normal"), status.alias("status")))))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import fold, squeeze
+from ..session import packed, unpacked
 
 # How a currency is written, after folding.
 CURRENCIES = {
@@ -70,12 +71,13 @@ def readings(df: DataFrame, amount: str, code: str, notes: str, rates: DataFrame
     residual is log10(usd / evidence), for reports only: the evidence column takes no part in the choice.
 
     Null, blank, undisclosed, ranges, bounds, several figures and unknown currencies give nulls. rates (currency_code,
-    usd_per_unit) is a short reference list and is broadcast. Other columns stay, whatever their names.
+    usd_per_unit) is a short reference list and is broadcast. Other columns stay, whatever their names;
+    ones named like a result give way to it.
     """
     every = _words([w for ws in SCALES.values() for w in ws])
     numbers = _words([w for ws in WORDS.values() for w in ws.split()])
     a = fold(squeeze(F.when(F.length(amount) <= 200, F.col(amount))))
-    x = df.withColumn("_a", a)
+    x = packed(df, _a=a, _code=fold(squeeze(F.col(code))), _note=fold(squeeze(F.col(notes))), _evidence=F.col(evidence) if evidence else F.lit(None).cast("double"))
     figure = "\\d{1,3}(?:[ ']\\d{3})+(?:[.,]\\d{1,2})?(?!\\d)|\\d[\\d.,]*\\d|\\d"
     x = x.withColumn("_n", F.regexp_extract("_a", f"({figure})", 1))
     rest = F.regexp_replace("_a", f"^(.*?)(?:{figure})", "$1\u0001")
@@ -86,12 +88,12 @@ def readings(df: DataFrame, amount: str, code: str, notes: str, rates: DataFrame
     stated = F.col("_rest").isNotNull() & ~F.col("_rest").rlike("\\d") & ~F.col("_a").rlike(f"[<>≤≥]|(?<![a-z])({BOUNDS})(?![a-z])") & ~F.col("_a").rlike("\\d\\+")
     beside = F.regexp_extract("_rest", f"\x01 ?({every})(?:\\.(?![a-z])|(?![a-z]))", 1)
     x = x.withColumn("_beside", F.when(beside != "", _scale(beside)))
-    note = fold(squeeze(F.col(notes)))
+    note = F.col("_note")
     noted = F.lit(None).cast("double")
     for k, words in NOTED.items():
         noted = F.when(note.rlike(words), float(k)).otherwise(noted)
     spelled = F.regexp_replace("_rest", f"\x01 ?({every})\\.?(?![a-z])", "\u0001 ")
-    x = x.withColumn("_cur", F.coalesce(currency(spelled), currency(fold(squeeze(F.col(code)))), currency(note)))
+    x = x.withColumn("_cur", F.coalesce(currency(spelled), currency(F.col("_code")), currency(note)))
     n = F.regexp_replace("_n", "[ ']", "")
     dots, commas = F.length(F.regexp_replace(n, "[^.]", "")), F.length(F.regexp_replace(n, "[^,]", ""))
     last = F.regexp_extract(n, "([.,])\\d*$", 1)
@@ -118,6 +120,5 @@ def readings(df: DataFrame, amount: str, code: str, notes: str, rates: DataFrame
     x = x.withColumn("_best", F.explode_outer(F.slice("_ok", 1, 1)))  # a generator: filters on the outcome stay above it
     best = F.col("_best")
     usd = best * F.col("_scale") * F.col("_rate")
-    res = F.when((F.col(evidence) > 0) & (usd > 0), F.log10(usd / F.col(evidence))) if evidence else F.lit(None).cast("double")
-    keep = [F.col(f"`{c}`") for c in df.columns]
-    return x.select(*keep, (best * F.col("_scale")).alias("sum"), F.when(best.isNotNull(), F.col("_cur")).alias("sum_currency"), usd.alias("usd"), F.when(best.isNotNull(), F.size("_ok")).alias("n_readings"), res.alias("residual"))
+    res = F.when((F.col("_evidence") > 0) & (usd > 0), F.log10(usd / F.col("_evidence")))
+    return x.select(*unpacked(x, df, "sum", "sum_currency", "usd", "n_readings", "residual"), (best * F.col("_scale")).alias("sum"), F.when(best.isNotNull(), F.col("_cur")).alias("sum_currency"), usd.alias("usd"), F.when(best.isNotNull(), F.size("_ok")).alias("n_readings"), res.alias("residual"))

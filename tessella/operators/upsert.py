@@ -21,14 +21,14 @@ def insert_ignore(target: DataFrame, new: DataFrame, keys: list[str], order: Col
     known = [c for c in new.columns if c not in keys]
     nulls = new.filter(" OR ".join(f"{k} IS NULL" for k in keys))
     firsts = first_by(new.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys)), keys, order, known).select(*new.columns)
-    added = firsts.join(target.select(*keys).distinct(), keys, "left_anti").unionByName(nulls)
+    added = firsts.join(target.select(*keys).distinct(), keys, "left_anti").select(*new.columns).unionByName(nulls)
     return target.unionByName(added, allowMissingColumns=True), added
 
 
 def insert_replace(target: DataFrame, new: DataFrame, keys: list[str], order: Column) -> DataFrame:
     """Of each key the last new row replaces the target's whole row; columns it does not name become null."""
     last = new.groupBy(*keys).agg(F.max_by(F.struct(*new.columns), order).alias("_r")).select("_r.*")
-    return target.join(last.select(*keys), keys, "left_anti").unionByName(last, allowMissingColumns=True)
+    return target.join(last.select(*keys), keys, "left_anti").select(*target.columns).unionByName(last, allowMissingColumns=True)
 
 
 def updated(target: DataFrame, changes: DataFrame, keys: list[str], keep_old: bool = False) -> DataFrame:
@@ -53,7 +53,7 @@ def accumulated(index: DataFrame, hits: DataFrame, keys: list[str], weight: str
 
 
 def without(target: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
-    return target.join(gone.select(*keys).distinct(), keys, "left_anti")
+    return target.join(gone.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
 
 
 def arbitrated(log: DataFrame, candidates: DataFrame, keys: list[str]) -> DataFrame:

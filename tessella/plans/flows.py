@@ -43,7 +43,7 @@ def sk03(spark, d):
 
 
 @R.add("sk04_accumulate", """WITH k AS (SELECT event_type AS tag, user_id AS word FROM events WHERE event_id % 2 = 0 GROUP BY 1, 2), h AS (SELECT event_type AS tag, user_id AS word, count(*) AS n FROM events WHERE event_id % 2 = 1 GROUP BY 1, 2)
-SELECT coalesce(k.tag, h.tag) AS tag, coalesce(k.word, h.word) AS word, round(CASE WHEN k.tag IS NULL THEN least(10.0, 0.5 + 0.3 * (n - 1)) WHEN n IS NULL THEN 0.5 ELSE least(10.0, 0.5 + 0.3 * n) END, 6) AS weight FROM k FULL JOIN h ON k.tag = h.tag AND k.word = h.word""")
+SELECT coalesce(k.tag, h.tag) AS tag, coalesce(k.word, h.word) AS word, CAST(round(CASE WHEN k.tag IS NULL THEN least(10.0, 0.5 + 0.3 * (n - 1)) WHEN n IS NULL THEN 0.5 ELSE least(10.0, 0.5 + 0.3 * n) END, 6) AS DOUBLE) AS weight FROM k FULL JOIN h ON k.tag = h.tag AND k.word = h.word""")
 def sk04(spark, d):
     e = table(spark, d, "events").select("event_id", F.col("event_type").alias("tag"), F.col("user_id").alias("word"))
     known = e.filter("event_id % 2 = 0").select("tag", "word").distinct().withColumn("weight", F.lit(0.5))

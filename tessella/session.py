@@ -46,3 +46,13 @@ def with_salt(df: DataFrame, by: list[str], salts: int) -> DataFrame:
 def replicated(df: DataFrame, salts: int) -> DataFrame:
     """The small side of a salted join: each row once per sub-key."""
     return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
+def packed(df: DataFrame, **needed) -> DataFrame:
+    """The row of df as one struct `_row`, and the needed columns by these names: working columns then never clash with df's own."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), *(c.alias(n) for n, c in needed.items()))
+
+
+def unpacked(x: DataFrame, df: DataFrame, *out: str) -> list:
+    """df's own columns out of `_row`, without those that the results `out` replace."""
+    return [F.col("_row").getField(c).alias(c) for c in df.columns if c not in out]
