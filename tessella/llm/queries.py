@@ -105,7 +105,7 @@ def _entities(spark: SparkSession, d: str, tabs: tuple[str, ...] = ("startups",
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     e = checkpointed(_entities(spark, d))
     many = e.groupBy("tab", "entity").agg(F.count("*").alias("n")).filter("n > 1").select("tab", "entity")
-    e = e.join(many, ["tab", "entity"])
+    e = names.looked_up(e, "id", many, ["tab", "entity"])
     a, b = e.select("tab", "entity", F.col("id").alias("id_a")), e.select("tab", "entity", F.col("id").alias("id_b"))
     return a.join(b, ["tab", "entity"]).filter("id_a < id_b").select("tab", "id_a", "id_b")
 
@@ -121,7 +121,7 @@ def _companies(spark: SparkSession, d: str) -> DataFrame:
     """startups with group_id, the smallest id of the company's records; only companies with two or more."""
     e = checkpointed(_entities(spark, d, ("startups",)))
     groups = e.groupBy("entity").agg(F.min("id").alias("group_id"), F.count("*").alias("n")).filter("n > 1").select("entity", "group_id")
-    return table(spark, d, "startups").join(e.join(groups, "entity").select("id", "group_id"), "id")
+    return table(spark, d, "startups").join(names.looked_up(e, "id", groups, ["entity"]).select("id", "group_id"), "id")
 
 
 @R.add("p1_found")
