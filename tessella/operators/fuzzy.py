@@ -12,20 +12,24 @@ from ..functions.scalars import small, without_suffix
 Q = 2
 
 
-def lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, bits in parallel."""
-    if len(a) > len(b):
-        a, b = b, a
+def _masks(a: str) -> dict[str, int]:
     at: dict[str, int] = {}
     for i, ch in enumerate(a):
         at[ch] = at.get(ch, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    s = full
+    return at
+
+
+def _lcs(at: dict[str, int], n: int, b: str) -> int:
+    """Length of the longest common subsequence of a text of n characters, given by its masks, and b; bits in parallel."""
+    full = s = (1 << n) - 1
     for ch in b:
         u = s & at.get(ch, 0)
-        s = (s + u) | (s - u)
-        s &= full
-    return len(a) - s.bit_count()
+        s = ((s + u) | (s - u)) & full
+    return n - s.bit_count()
+
+
+def lcs(a: str, b: str) -> int:
+    return _lcs(_masks(a), len(a), b)
 
 
 def ratio(a: str, b: str) -> float:
@@ -44,7 +48,14 @@ def partial(a: str, b: str) -> float:
     m = len(a)
     if not m:
         return 100.0 if not b else 0.0
-    return max(ratio(a, b[max(0, i) : i + m]) for i in range(1 - m, len(b)))
+    if a in b:
+        return 100.0
+    at, best = _masks(a), 0.0
+    for i in range(1 - m, len(b)):
+        w = b[max(0, i) : i + m]
+        if 200.0 * min(m, len(w)) / (m + len(w)) > best and (w[0] in at or w[-1] in at):
+            best = max(best, 200.0 * _lcs(at, m, w) / (m + len(w)))
+    return best
 
 
 @F.pandas_udf(T.DoubleType())
@@ -62,34 +73,44 @@ def sorted_tokens(c: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(F.split(c, "\\s+"), lambda w: w != "")), " ")
 
 
-def grams(c: Column) -> Column:
-    """The Q-grams of a text, repeats told apart by their number, in one order for all texts; a shorter text is its own gram."""
+def grams(c: Column, told_apart: bool = True) -> Column:
+    """The Q-grams of a text as hashes, repeats told apart by their number if wanted; a shorter text is its own gram."""
     n = F.length(c)
     raw = F.when(n < Q, F.array(c)).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(n - (Q - 1), F.lit(1))), lambda i: c.substr(i, F.lit(Q))))
-    told = F.transform(raw, lambda g, i: F.concat_ws("#", g, F.size(F.filter(F.slice(raw, 1, i), lambda x: x == g)).cast("string")))
-    return F.array_sort(F.transform(told, lambda g: F.xxhash64(g)))
+    if told_apart:
+        raw = F.transform(F.array(raw), lambda r: F.transform(r, lambda g, i: F.concat_ws("#", g, F.size(F.filter(F.slice(r, 1, i), lambda x: x == g)).cast("string"))))[0]
+    return F.array_distinct(F.transform(raw, lambda g: F.xxhash64(g)))
+
+
+def _ranked(texts: DataFrame, c: str, edits: Column, told_apart: bool, df: DataFrame) -> DataFrame:
+    """(c, all, first): the grams of each distinct text and the rarest of them that one must share with it."""
+    g = texts.select(c).distinct().select(c, F.explode(grams(F.col(c), told_apart)).alias("g")).join(df, "g")
+    g = g.groupBy(c).agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("s"))
+    return g.select(c, F.transform("s", lambda x: x["g"]).alias(f"all_{c}"), F.transform(F.slice("s", 1, (edits * Q + 1).cast("int")), lambda x: x["g"]).alias(f"first_{c}"))
 
 
 def candidates(left: DataFrame, right: DataFrame, least: float, whole: bool = True) -> DataFrame:
-    """(l, r): distinct pairs of left(l) and right(r) texts that can reach the similarity; none that can is lost.
+    """(l, r): distinct pairs of left(l) and right(r) texts that can reach the similarity.
 
     A similarity of t allows d = (a + b)(1 - t / 100) insertions and deletions, each of which spoils at most Q grams.
-    So two similar texts share one of the first d Q + 1 grams of either in a common order (whole), or of the shorter
-    among all of the longer (not whole). This is an equi-join on grams, not a comparison of all with all.
+    So two similar texts share one of the rarest d Q + 1 grams of either (whole), or of the shorter among all of the
+    longer (not whole), and as many grams in all as d edits leave. This is an equi-join on rare grams and a count, not a
+    comparison of all with all. Texts too short for their edits (d Q + 1 grams and fewer) are found if they share any gram.
     """
     t = least / 100.0
+    edits = lambda c: F.floor(F.length(c) * (1 + (2 - t) / t) * (1 - t) + 1e-9) if whole else F.floor(2 * F.length(c) * (1 - t) + 1e-9)
+    both = left.select(F.col("l").alias("x")).unionByName(right.select(F.col("r").alias("x"))).distinct()
+    df = both.select(F.explode(grams(F.col("x"), whole)).alias("g")).groupBy("g").agg(F.count("*").alias("df"))
+    L, R = _ranked(left, "l", edits(F.col("l")), whole, df), _ranked(right, "r", edits(F.col("r")), whole, df)
+    a, b = F.length("l"), F.length("r")
+    shared = F.size(F.array_intersect("all_l", "all_r"))
+    pick = lambda x, c, which: x.select(c, f"all_{c}", F.explode(f"{which}_{c}").alias("g"))
     if whole:
-        edits = lambda c: F.floor(F.length(c) * (1 + (2 - t) / t) * (1 - t) + 1e-9)
-        first = lambda df, c: df.select(c, F.explode(F.array_distinct(F.slice(grams(F.col(c)), 1, (edits(F.col(c)) * Q + 1).cast("int")))).alias("g"))
-        pairs = first(left, "l").join(first(right, "r"), "g").select("l", "r").distinct()
-        a, b = F.length("l"), F.length("r")
-        return pairs.filter(2 * F.least(a, b) >= t * (a + b) - 1e-9)
-    edits = lambda c: F.floor(2 * F.length(c) * (1 - t) + 1e-9)
-    plain = lambda c: F.array_sort(F.transform(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - (Q - 1), F.lit(1))), lambda i: c.substr(i, F.lit(Q)))), lambda g: F.xxhash64(g)))
-    some = lambda df, c: df.select(c, F.explode(F.slice(plain(F.col(c)), 1, (edits(F.col(c)) * Q + 1).cast("int"))).alias("g"))
-    all_of = lambda df, c: df.select(c, F.explode(plain(F.col(c))).alias("g"))
-    one = some(left, "l").join(all_of(right, "r"), "g").filter(F.length("l") <= F.length("r"))
-    two = some(right, "r").join(all_of(left, "l"), "g").filter(F.length("r") < F.length("l"))
+        most = F.floor((a + b) * (1 - t) + 1e-9)
+        p = pick(L, "l", "first").join(pick(R, "r", "first"), "g").filter((2 * F.least(a, b) >= t * (a + b) - 1e-9) & (shared >= F.greatest(F.size("all_l"), F.size("all_r")) - most * Q))
+        return p.select("l", "r").distinct()
+    one = pick(L, "l", "first").join(pick(R, "r", "all"), "g").filter((a <= b) & (shared >= F.size("all_l") - edits(F.col("l")) * Q))
+    two = pick(R, "r", "first").join(pick(L, "l", "all"), "g").filter((b < a) & (shared >= F.size("all_r") - edits(F.col("r")) * Q))
     return one.select("l", "r").unionByName(two.select("l", "r")).distinct()
 
 
