@@ -37,3 +37,17 @@ def test_sinks(spark, tmp_path):
     assert sinks.js_constants({"X": df.orderBy("id")}) == 'const X = [{"id": 1, "v": "a|b"}, {"id": 2}];'
     assert "| 1 | a\\|b |" in sinks.markdown("R", {"s": df, "none": df.limit(0)})
     assert sinks.page("<p>{{n}}</p>{{constants}}", "c", {"n": 3}) == "<p>3</p>c"
+
+
+def test_search_source(spark, tmp_path, rows):
+    import json
+
+    from tessella.sources import search as S
+
+    path = tmp_path / "answers.jsonl"
+    path.write_text("\n".join(json.dumps(a) for a in [{"query": "a", "results": [{"title": "T 2021", "url": "http://x/1"}, {"title": "U", "url": "http://x/2020/2", "published": "2019-05-01"}]}, {"query": "b", "results": []}, {"query": "c", "results": [{"url": "http://y"}]}]))
+    got = rows(S.search(spark, ["a", "b", "zzz"], str(path)), "query", "pos", "url", "year")
+    assert got == [("a", 1, "http://x/1", 2021), ("a", 2, "http://x/2020/2", 2019)]
+    one = spark.createDataFrame([("u", "first")], "url string, text string")
+    two = spark.createDataFrame([("u", "second"), ("v", "x" * 5000)], "url string, text string")
+    assert [(u, len(t), c) for u, t, c in rows(S.gathered({"news": one, "web": two}), "url", "text", "channel")] == [("u", 5, "news"), ("v", 2000, "web")]
