@@ -13,7 +13,18 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where it lies at the same place on every machine, whatever folder Spark was started in. Elsewhere install it, or ship it with --py-files."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), ROOT]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
