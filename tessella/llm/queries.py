@@ -146,7 +146,17 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encoded(table(spark, d, "documents").select("doc_id", "text"))
 
 
-@R.add("p9_found")
+# the same words and runs, compared one by one
+P9 = """
+WITH w AS (
+  SELECT 0 AS side, doc_id AS id, regexp_extract_all(lower(strip_accents(replace(replace(text, 'ı', 'i'), 'İ', 'i'))), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE text IS NOT NULL
+  UNION ALL SELECT 1, item_id, regexp_extract_all(lower(strip_accents(replace(replace(text, 'ı', 'i'), 'İ', 'i'))), '[\\p{L}\\p{N}]+') FROM eval_items WHERE text IS NOT NULL),
+g AS (SELECT side, id, unnest(list_transform(range(1, len(w) - 10), lambda i: hash(array_to_string(list_slice(w, i, i + 11), ' ')))) AS h FROM w WHERE len(w) >= 12)
+SELECT DISTINCT a.id AS doc_id, b.id AS item_id FROM g a JOIN g b ON a.h = b.h WHERE a.side = 0 AND b.side = 1
+"""
+
+
+@R.add("p9_found", P9)
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     return leakage.leaks(docs, table(spark, d, "eval_items")).select("doc_id", "item_id").distinct()
