@@ -11,7 +11,7 @@ from ..functions import scalars as S
 from ..functions import taxonomy
 from ..functions.text import fold, squeeze
 from ..operators import aggregates as A
-from ..operators import fuzzy, keywords
+from ..operators import fuzzy, keywords, units
 from ..session import table
 from .registry import Registry
 
@@ -218,6 +218,21 @@ def s51(spark, d):
     return x.select("id", F.round(fuzzy.token_sort_ratio("slug", "name"), 3).alias("score"))
 
 
+@R.add("s08_similarity")
+def s08(spark, d):
+    """How alike a company's name and its registered name are, by sorted tokens and by part."""
+    s = table(spark, d, "startups").filter("company_name <> '' and legal_business_name <> ''").select("id", S.small(F.col("company_name")).alias("a"), S.small(F.col("legal_business_name")).alias("b"))
+    return s.select("id", F.round(fuzzy.token_sort_ratio("a", "b"), 3).alias("tokens"), F.round(fuzzy.partial_ratio("a", "b"), 3).alias("part"))
+
+
+@R.add("s22_parsed_funding")
+def s22(spark, d):
+    """Total funding of a company as a number, its currency and dollars, in any notation."""
+    s = table(spark, d, "startups").select("id", "Total_Funding_Formatted", F.lit(None).cast("string").alias("code"))
+    out = units.readings(s, "Total_Funding_Formatted", "code", "code", table(spark, d, "fx_rates"))
+    return out.filter("usd is not null").select("id", "sum", "sum_currency", F.round("usd", 2).alias("usd"))
+
+
 @R.add("s55_language_codes", "SELECT doc_id, CASE WHEN lower(lang) IN ('tr', 'tur', 'turkish') THEN 'tr' WHEN lower(lang) IN ('en', 'eng', 'english') THEN 'en' WHEN lang IS NULL OR lower(lang) IN ('', 'und') THEN 'unknown' ELSE lower(substr(lang, 1, 2)) END AS lang FROM documents")
 def s55(spark, d):
     low = F.lower("lang")
