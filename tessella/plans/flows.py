@@ -123,22 +123,29 @@ def dm(spark, d):
     return v.join(s, "startup_id", "left").select("id", F.when(known, F.col("currency")).otherwise(new).alias("currency"))
 
 
-@R.add("do_anomalies", """SELECT 'news' AS kind, startup_id AS entity_id, 'many_mentions' AS code, count(*) AS n FROM news_mentions WHERE startup_id IS NOT NULL GROUP BY startup_id HAVING count(*) > 20
-UNION ALL SELECT 'investment', id, 'implausible_amount', 1 FROM investments WHERE amount_usd > 500000000
-UNION ALL SELECT 'startup', s.id, 'no_confidence', 1 FROM startups s WHERE coalesce(s.data_confidence, 0) = 0
-UNION ALL SELECT 'startup', s.id, 'deals_without_news', count(*) FROM startups s JOIN investments v ON v.startup_id = s.id WHERE NOT EXISTS (SELECT 1 FROM news_mentions n WHERE n.startup_id = s.id) GROUP BY s.id""")
+# Words that make an address suspicious; rounds that are early.
+SUSPICIOUS = ["cheat", "hack", "casino", "bet", "porn", "forex", "crypto-bot"]
+EARLY = ["Seed", "Pre-Seed", "Angel"]
+
+
+@R.add("do_anomalies", f"""SELECT 'startup' AS kind, id AS entity_id, CAST(NULL AS BIGINT) AS other_id, 'spam_url' AS code, 90 AS priority FROM startups WHERE regexp_matches(lower(website), '{"|".join(SUSPICIOUS)}')
+UNION ALL SELECT 'investment', id, startup_id, 'implausible_amount', 75 FROM investments WHERE round_type IN ('Seed', 'Pre-Seed', 'Angel') AND amount_usd > 20000000
+UNION ALL SELECT 'startup', entity_id, NULL, 'unstable', 65 FROM cleanup_log WHERE lower(entity_type) LIKE 'startup%' GROUP BY entity_id HAVING count(*) > 2
+UNION ALL SELECT 'startup', s.id, n.id, 'foreign_source', 55 FROM startups s JOIN (SELECT startup_id, arg_max(id, (scanned_at, id)) AS id, arg_max(source_language, (scanned_at, id)) AS lang, max(scanned_at) AS seen FROM news_mentions WHERE startup_id IS NOT NULL GROUP BY 1) n ON n.startup_id = s.id
+WHERE n.seen >= '2026-05-01' AND n.lang <> 'tr' AND (s.city IS NULL OR lower(trim(s.city)) IN ('nan', 'unknown', 'none', ''))""")
 def do(spark, d):
-    """Four rules over the tables, in one shape."""
-    n, v, s = table(spark, d, "news_mentions"), table(spark, d, "investments"), table(spark, d, "startups")
-    shape = lambda df, kind, code, key, cnt: df.select(F.lit(kind).alias("kind"), F.col(key).alias("entity_id"), F.lit(code).alias("code"), cnt.cast("bigint").alias("n"))
-    per = n.filter("startup_id is not null").groupBy("startup_id").agg(F.count("*").alias("c"))
-    silent = s.select("id").join(per.select(F.col("startup_id").alias("id")), "id", "left_anti")
-    deals = v.groupBy(F.col("startup_id").alias("id")).agg(F.count("*").alias("c"))
+    """Four rules over the tables, in one shape with a priority: suspicious addresses, too much money too early (with both ids),
+    records changed again and again, companies without a city whose latest news is foreign."""
+    n, v, s, log = (table(spark, d, t) for t in ("news_mentions", "investments", "startups", "cleanup_log"))
+    none = F.lit(None).cast("bigint")
+    shape = lambda df, kind, key, other, code, pri: df.select(F.lit(kind).alias("kind"), F.col(key).alias("entity_id"), other.alias("other_id"), F.lit(code).alias("code"), F.lit(pri).alias("priority"))
+    last = J.latest(n.filter("startup_id is not null").select(F.col("startup_id").alias("id"), F.col("id").alias("news_id"), "source_language", "scanned_at"), ["id"], F.struct("scanned_at", "news_id"), ["news_id", "source_language", "scanned_at"])
+    foreign = s.filter(S.is_absent(F.col("city"))).select("id").join(last.filter("scanned_at >= '2026-05-01' and source_language <> 'tr'"), "id")
     return reduce(lambda a, b: a.unionByName(b), [
-        shape(per.filter("c > 20"), "news", "many_mentions", "startup_id", F.col("c")),
-        shape(v.filter("amount_usd > 500000000"), "investment", "implausible_amount", "id", F.lit(1)),
-        shape(s.filter(F.coalesce("data_confidence", F.lit(0)) == 0), "startup", "no_confidence", "id", F.lit(1)),
-        shape(silent.join(deals, "id"), "startup", "deals_without_news", "id", F.col("c")),
+        shape(s.filter(F.lower("website").rlike("|".join(SUSPICIOUS))), "startup", "id", none, "spam_url", 90),
+        shape(v.filter(F.col("round_type").isin(*EARLY) & (F.col("amount_usd") > 20_000_000)), "investment", "id", F.col("startup_id"), "implausible_amount", 75),
+        shape(log.filter(F.lower("entity_type").startswith("startup")).groupBy("entity_id").agg(F.count("*").alias("c")).filter("c > 2"), "startup", "entity_id", none, "unstable", 65),
+        shape(foreign, "startup", "id", F.col("news_id"), "foreign_source", 55),
     ])
 
 

@@ -14,7 +14,10 @@ from .registry import Registry
 
 R = Registry()
 # The kinds of investor that count as known.
-INVESTOR_TYPES = ["VC", "Venture Capital", "CVC", "Corporate", "Angel", "Accelerator", "Government", "PE", "Private Equity", "Family Office", "Holding", "Individual", "Incubator", "Bank", "Unknown"]
+INVESTOR_TYPES = [
+    "VC", "CVC", "Angel", "Corporate", "Accelerator", "PE", "Government", "Family Office", "Unknown", "Not Investor", "Corporate (Overlap)", "Corporate VC", "Private", "Individual", "Private Investor", "Asset Management Company", "Hedge Fund",
+    "Private Foundation", "Growth Equity", "Quant Hedge Fund", "Public Funds", "Foreign", "Journalist", "Public",
+]
 TYPES_SQL = ", ".join(f"'{t}'" for t in INVESTOR_TYPES)
 SPAM_SQL = "regexp_matches(regexp_extract(lower(trim(website)), '^(?:[a-z][a-z0-9+.-]*://)?([^/:?#]*)', 1), '^(?:.+\\.)?(?:" + "|".join(s.replace(".", "\\.") for s in urls.SPAM) + ")$')"
 CHANGES = "(SELECT event_id AS id, user_id AS entity_id, event_type AS field, value, ts FROM events)"
@@ -209,8 +212,8 @@ CHECK = "SELECT '{n}' AS name, CAST(v AS DOUBLE) AS value, CAST({t} AS DOUBLE) A
 PCT = "100.0 * count(*) FILTER ({w}) / count(*)"
 ORPHANS_SQL = [CHECK.format(n=f"Q-0{i + 1}", t=0, e="count(*)", f=f"{c} c LEFT JOIN {p} p ON c.{f} = p.{k} WHERE c.{f} IS NOT NULL AND p.{k} IS NULL") for i, (_, c, f, p, k) in enumerate(FKS)]
 REST_SQL = [
-    CHECK.format(n="Q-05", t=5, e="count(DISTINCT investor_type)", f=f"investors WHERE investor_type NOT IN ({TYPES_SQL})"),
-    CHECK.format(n="Q-06", t=5, e=PCT.format(w="Category IS NULL OR Category = '' OR Category LIKE '%Uncategorized%'"), f="startups"),
+    CHECK.format(n="Q-05", t=5, e="count(DISTINCT investor_type)", f=f"investors WHERE (status IS NULL OR status = 'active') AND investor_type NOT IN ({TYPES_SQL})"),
+    CHECK.format(n="Q-06", t=5, e=PCT.format(w="Category IS NULL OR Category = 'General | Uncategorized'"), f="startups"),
     CHECK.format(n="Q-07", t=0, e="count(*)", f=f"startups WHERE {SPAM_SQL}"),
     CHECK.format(n="Q-08", t=10, e=PCT.format(w="currency IS NULL OR currency IN ('', 'Unknown')"), f="investments"),
     CHECK.format(n="Q-09", t=5, e=PCT.format(w="summary IS NULL OR trim(summary) = ''"), f="news_mentions WHERE coalesce(is_relevant, 1) = 1"),
@@ -223,8 +226,8 @@ def q_checks(spark, d):
     pct = lambda c: 100.0 * F.count_if(c) / F.count("*")
     out = [J.orphans(table(spark, d, c).select("id", f), f, table(spark, d, p), k).agg(F.count("*").alias("v")).select(*_check(f"Q-0{i + 1}", F.col("v"), 0)) for i, (_, c, f, p, k) in enumerate(FKS)]
     s, v, n = table(spark, d, "startups"), table(spark, d, "investments"), table(spark, d, "news_mentions")
-    out.append(table(spark, d, "investors").filter(~F.col("investor_type").isin(*INVESTOR_TYPES)).agg(F.countDistinct("investor_type").alias("v")).select(*_check("Q-05", F.col("v"), 5)))
-    out.append(s.agg(pct(~A.filled(F.col("Category")) | F.col("Category").contains("Uncategorized")).alias("v")).select(*_check("Q-06", F.col("v"), 5)))
+    out.append(table(spark, d, "investors").filter((F.col("status").isNull() | (F.col("status") == "active")) & ~F.col("investor_type").isin(*INVESTOR_TYPES)).agg(F.countDistinct("investor_type").alias("v")).select(*_check("Q-05", F.col("v"), 5)))
+    out.append(s.agg(pct(F.col("Category").isNull() | (F.col("Category") == "General | Uncategorized")).alias("v")).select(*_check("Q-06", F.col("v"), 5)))
     out.append(s.filter(urls.is_spam(F.col("website"))).agg(F.count("*").alias("v")).select(*_check("Q-07", F.col("v"), 0)))
     out.append(v.agg(pct(F.col("currency").isNull() | F.col("currency").isin("", "Unknown")).alias("v")).select(*_check("Q-08", F.col("v"), 10)))
     out.append(n.filter(F.coalesce("is_relevant", F.lit(1)) == 1).agg(pct(F.col("summary").isNull() | (F.trim("summary") == "")).alias("v")).select(*_check("Q-09", F.col("v"), 5)))
