@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 #: consecutive words that make a leak
 RUN = 12
-#: words of a document's passage; passages overlap by RUN - 1 words, so each run lies in one of them
+#: words of a document's passage at most; passages overlap by RUN - 1 words, so each run lies in one of them
 PASSAGE = 36
 #: postings a block
 BLOCK = 16
@@ -142,12 +142,18 @@ def leaks_of(ix: Index, text: str | None, run: int = RUN) -> list[tuple[int, int
     if len(w) < run or not ix.ids:
         return []
     found: dict[int, set] = defaultdict(set)
+    known = [t in ix.top for t in w] + [False]
     step = PASSAGE - run + 1
-    for j in range(0, max(1, len(w) - run + 1), step):
-        passage = w[j : j + PASSAGE]
-        for k in search(ix, set(passage)):
-            have = {tuple(passage[i : i + run]) for i in range(len(passage) - run + 1)}
-            found[k] |= have.intersection(ix.runs[k])
+    start = 0
+    for end, k in enumerate(known):  # a run cannot go over a word that no item has: passages end there
+        if k:
+            continue
+        for j in range(start, end - run + 1, step):
+            passage = w[j : min(j + PASSAGE, end)]
+            for item in search(ix, set(passage)):
+                have = {tuple(passage[i : i + run]) for i in range(len(passage) - run + 1)}
+                found[item] |= have.intersection(ix.runs[item])
+        start = end + 1
     return [(ix.ids[k], len(r)) for k, r in found.items() if r]
 
 
