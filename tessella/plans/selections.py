@@ -12,11 +12,13 @@ from ..functions import taxonomy
 from ..functions.text import fold, squeeze
 from ..operators import aggregates as A
 from ..operators import fuzzy, keywords, units
-from ..session import table
+from ..session import replicated, table, with_salt
 from .registry import Registry
 
 R = Registry()
 AS_OF = "2026-05-31"
+#: sub-keys over which the rows of a hot key are spread
+SALTS = 8
 
 
 def _filter(name: str, t: str, key: str, sql: str, cond) -> None:
@@ -60,6 +62,15 @@ def f12(spark, d):
     return s.join(table(spark, d, "investors").select("investor_id", F.lower("location").alias("k")), "k").select("id", "investor_id")
 
 
+@R.add("f12_same_city_whole", "SELECT s.id, i.investor_id FROM startups s JOIN investors i ON lower(s.city) = lower(i.location) WHERE s.city <> ''")
+def f12_whole(spark, d):
+    """Startups of every year and city; the dotted I is i in lower case, and the rows of a frequent city are spread over sub-keys."""
+    lower = lambda c: F.lower(F.translate(c, "İ", "i")).alias("k")
+    s = table(spark, d, "startups").filter(A.filled(F.col("city"))).select("id", lower("city"))
+    i = table(spark, d, "investors").filter(A.filled(F.col("location"))).select("investor_id", lower("location"))
+    return with_salt(s, ["id"], SALTS).join(replicated(i, SALTS), ["k", "_salt"]).select("id", "investor_id")
+
+
 @R.add("f19_defaults", "SELECT id, coalesce(cloud_relevance, 'Unclassified') AS cloud, CASE WHEN city IS NULL OR city = '' THEN 'N/A' ELSE city END AS city FROM startups")
 def f19(spark, d):
     return table(spark, d, "startups").select("id", F.coalesce("cloud_relevance", F.lit("Unclassified")).alias("cloud"), F.when(A.filled(F.col("city")), F.col("city")).otherwise("N/A").alias("city"))
