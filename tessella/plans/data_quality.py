@@ -60,8 +60,14 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 @R.add("p5_report")
 def p5_report(spark: SparkSession, d: str) -> DataFrame:
-    """Direct and inherited orphans of every foreign key, per month."""
-    return orphans.report(_orphans(spark, d))
+    """Direct and inherited orphans of every foreign key, per month; a deal's date is read in any notation, its month alone if it states no day."""
+    t = {n: table(spark, d, n) for n in KEYS}
+    month = F.nullif(F.regexp_extract("investment_date", "^(\\d{4}-(?:0[1-9]|1[0-2]))(?!\\d)", 1), F.lit(""))
+    deals = timestamps.normalised(t["investments"].select("id", "investment_date"), "investment_date", F.lit("180"), F.lit("DMY"))
+    deals = deals.select(F.lit("investments").alias("tab"), F.col("id").alias("row_id"), F.coalesce(F.substring("normal", 1, 7), month).alias("period"))
+    news = t["news_mentions"].select(F.lit("news_mentions").alias("tab"), F.col("id").alias("row_id"), F.substring("scanned_at", 1, 7).alias("period"))
+    found = orphans.cascade(t, KEYS, FOREIGN_KEYS).drop("period")
+    return orphans.report(found.join(news.unionByName(deals), ["tab", "row_id"], "left"))
 
 
 @R.add("p6_found")

@@ -27,3 +27,14 @@ def test_same_city_of_every_year_and_letter(spark, tmp_path, rows):
     low = lambda t: t.replace("İ", "i").lower()
     want = sorted(((i, v) for i, c, _ in startups for v, t in investors if c and t and low(c) == low(t)), key=repr)
     assert rows(Q["f12_same_city_whole"](spark, d), "id", "investor_id") == want
+
+
+def test_orphans_of_deals_dated_in_any_notation(spark, tmp_path, rows):
+    dates = ["2023-11-05", "22/11/2023", "23 Nisan 2022", "Tue, 01 Nov 2022 17:03:00 +0300", "2022-11-01T01:00:00+03:00", "2024-05", "junk", None]
+    d = folder(
+        spark, tmp_path, startups=([(1, None)], "id long, first_seen string"), investors=([(1,)], "investor_id long"), news_mentions=([(7, 99, None, "2024-02-01T00:00:00Z")], "id long, startup_id long, investor_id long, scanned_at string"),
+        investments=([(i, 1, 99, None, x) for i, x in enumerate(dates)], "id long, startup_id long, investor_id long, news_mention_id long, investment_date string"),
+    )
+    got = rows(Q["p5_report"](spark, d).filter("tab = 'investments'"), "period", "n_rows")
+    assert got == sorted([("2023-11", 2), ("2022-04", 1), ("2022-11", 1), ("2022-10", 1), ("2024-05", 1), (None, 2)], key=repr)
+    assert rows(Q["p5_report"](spark, d).filter("tab = 'news_mentions'"), "period", "n_rows") == [("2024-02", 1)]
