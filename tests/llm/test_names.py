@@ -83,3 +83,33 @@ def test_components(spark):
     e = spark.createDataFrame([("t", i, i + 1) for i in range(1, 30)] + [("t", 100, 101), ("u", 1, 2)], "tab string, a long, b long")
     got = {(r.tab, r.node): r.root for r in N.components(e).collect()}
     assert {got[("t", i)] for i in range(1, 31)} == {1} and got[("t", 101)] == 100 and got[("u", 2)] == 1
+
+
+def test_middles_of_a_key_are_compared(spark):
+    """Profiles that stand between the ends of all their keys link with each other, and an initial sees every full name."""
+    n = None
+    data = [
+        ("startups", 1, "Nova Merkur Enerji", n, "novamerkurone.example", n), ("startups", 5, "Nova Merkur Lojistik", n, n, "2024-01-02"), ("startups", 6, "Nova Merkr Lojistik", n, n, "2024-01-02"), ("startups", 900, "Nova Merkur Enerji", n, "novamerkurtwo.example", n),
+        ("investors", 10, "Mehmet Yilmaz", n, "mehmetyilmaz.example", n), ("investors", 50, "Murat Yilmaz", n, n, n), ("investors", 60, "M. Yilmaz", n, n, n), ("investors", 90, "Mehmet Yilmaz", n, n, n),
+    ]
+    got = groups(spark, data)
+    assert any({5, 6} <= set(g) for g in got)
+    assert [60] in got and [50] in got
+
+
+def test_links_as_if_all_pairs_were_compared(spark):
+    rng = random.Random(11)
+    given, family = ["Mehmet", "Murat", "Mert", "Ada", "Aylin"], ["Yilmaz", "Yilmas", "Gurlone", "Gurlonebi"]
+    data = [("investors", i, f"{(g := rng.choice(given)) if rng.random() < 0.7 else g[0] + '.'} {rng.choice(family)}" if (g := rng.choice(given)) else "", None, rng.choice([None, None, f"site{i % 7}.example"]), rng.choice([None, "2024-01-02", "2024-02-03"])) for i in range(60)]
+    prof = next(N._profiles(iter([table(spark, data).toPandas()])))
+    p = {r["id"]: r for r in prof.to_dict("records")}
+    keys = {i: set(N.keys_of(r["core"], r["initials"], sorted({x for x in [*r["slugs"], r["legal"]] if x}))) for i, r in p.items()}
+    root = {i: i for i in p}
+    for _ in p:
+        for a in p:
+            for b in p:
+                if a < b and root[a] != root[b] and keys[a] & keys[b] and not N._conflict(p[a], p[b]) and N.aligned(p[a]["core"], p[b]["core"], p[a]["initials"], p[b]["initials"], N._support(p[a], p[b])) == "same":
+                    root = {k: root[a] if v == root[b] else v for k, v in root.items()}
+    got = {r.id: r.entity for r in N.linked(table(spark, data)).collect()}
+    full = [i for i in p if not p[i]["initials"]]
+    assert all((got[a] == got[b]) == (root[a] == root[b]) for a in full for b in full)
