@@ -59,6 +59,31 @@ def replicated(df: DataFrame, salts: int) -> DataFrame:
     return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
+#: rows of one key from which a join spreads it, and over how many sub-keys
+HOT, SALTS = 100_000, 16
+
+
+def looked_up(rows: DataFrame, by: str | list[str], small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A shuffled join of rows with small that spreads the hot keys of rows by a hash of the columns `by`.
+
+    A key is hot if it has about HOT rows or more, as seen in a hundredth of rows (the sample only tells which keys to
+    spread; every row is joined). Only hot keys are repeated on the side of small. The list of hot keys has at most one key
+    for some HOT rows and is broadcast if its checked size allows; beyond that the join is left to AQE. Neither side
+    is ever broadcast, whatever the plan's size estimate says: estimates behind a checkpoint or an explode are far too low.
+    rows should be cheap to read again (a checkpoint or a table).
+    """
+    share = 0.01
+    hot = rows.sample(share, 7).groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > HOT * share).select(*on)
+    hot = hot.filter(" and ".join(f"`{c}` is not null" for c in on))
+    n = hot.limit(BROADCAST_ROWS + 1).count()
+    if n == 0 or n > BROADCAST_ROWS:
+        return rows.join(small.hint("merge"), on, how)
+    flag = F.broadcast(checkpointed(hot).withColumn("_hot", F.lit(True)))
+    a = rows.join(flag, on, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*([by] if isinstance(by, str) else by)), F.lit(SALTS))).otherwise(0).cast("int")).drop("_hot")
+    b = small.join(flag, on, "left").withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("_hot")
+    return a.join(b.hint("merge"), [*on, "_salt"], how).drop("_salt")
+
+
 def packed(df: DataFrame, **needed) -> DataFrame:
     """The row of df as one struct `_row`, and the needed columns by these names: working columns then never clash with df's own."""
     return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), *(c.alias(n) for n, c in needed.items()))
