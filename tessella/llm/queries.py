@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_missing
 from ..plans.registry import Registry
-from ..session import checkpointed, table
+from ..session import checkpointed, looked_up, table
 from . import abuse, canonical, golden, leakage, names, tokens
 
 R = Registry()
@@ -101,32 +101,38 @@ def _entities(spark: SparkSession, d: str, tabs: tuple[str, ...] = ("startups",
     return names.linked(out)
 
 
+#: rows of one entity from which its pairs are made in several tasks
+PAIRED = 2_000
+
+
 @R.add("p3_found")
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every pair, as the definition asks: an entity of n rows gives n(n-1)/2, made in n / PAIRED tasks at once."""
     e = checkpointed(_entities(spark, d))
-    many = e.groupBy("tab", "entity").agg(F.count("*").alias("n")).filter("n > 1").select("tab", "entity")
-    e = names.looked_up(e, "id", many, ["tab", "entity"])
-    a, b = e.select("tab", "entity", F.col("id").alias("id_a")), e.select("tab", "entity", F.col("id").alias("id_b"))
-    return a.join(b, ["tab", "entity"]).filter("id_a < id_b").select("tab", "id_a", "id_b")
+    many = e.groupBy("tab", "entity").agg(F.count("*").alias("n")).filter("n > 1").withColumn("salts", F.ceil(F.col("n") / PAIRED).cast("int")).select("tab", "entity", "salts")
+    e = checkpointed(looked_up(e, "id", many, ["tab", "entity"]))
+    a = e.select("tab", "entity", F.col("id").alias("id_a"), F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"))
+    b = e.select("tab", "entity", F.col("id").alias("id_b"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    return a.join(b.hint("merge"), ["tab", "entity", "salt"]).filter("id_a < id_b").select("tab", "id_a", "id_b")
 
 
 @R.add("p3_entities")
 def p3_entities(spark: SparkSession, d: str) -> DataFrame:
     """The entity of each row (its smallest profile's id) and how many rows share it."""
     e = checkpointed(_entities(spark, d))
-    return e.join(e.groupBy("tab", "entity").agg(F.count("*").alias("n_rows")), ["tab", "entity"])
+    return looked_up(e, "id", e.groupBy("tab", "entity").agg(F.count("*").alias("n_rows")), ["tab", "entity"])
 
 
-def _companies(spark: SparkSession, d: str) -> DataFrame:
-    """startups with group_id, the smallest id of the company's records; only companies with two or more."""
+def _companies(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """The columns of startups with group_id, the smallest id of the company's records; only companies with two or more."""
     e = checkpointed(_entities(spark, d, ("startups",)))
     groups = e.groupBy("entity").agg(F.min("id").alias("group_id"), F.count("*").alias("n")).filter("n > 1").select("entity", "group_id")
-    return table(spark, d, "startups").join(names.looked_up(e, "id", groups, ["entity"]).select("id", "group_id"), "id")
+    return table(spark, d, "startups").select("id", *columns).join(looked_up(e, "id", groups, ["entity"]).select("id", "group_id").hint("merge"), "id")
 
 
 @R.add("p1_found")
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    rows = golden.with_instant(_companies(spark, d).select("id", "group_id", "data_confidence", "last_updated"), "last_updated", "at")
+    rows = golden.with_instant(_companies(spark, d, "data_confidence", "last_updated"), "last_updated", "at")
     order = [golden.trust(F.col("data_confidence")).desc_nulls_last(), F.col("at").desc_nulls_last(), F.col("id").asc()]
     return golden.kept(rows, "group_id", order, "id").select("group_id", F.col("id").alias("kept_id"))
 
@@ -135,7 +141,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 def p1_golden(spark: SparkSession, d: str) -> DataFrame:
     """One built record per company, each field from the most trusted, then most complete, then latest record that fills it."""
     fields = ["company_name", "legal_business_name", "website", "crunchbase_url", "description", "city", "founders", "founded_year", "Investors", "Tech_Mentioned", "business_model", "Category", "first_seen"]
-    rows = golden.with_instant(_companies(spark, d), "last_updated", "at")
+    rows = golden.with_instant(_companies(spark, d, *fields, "data_confidence", "last_updated"), "last_updated", "at")
     second = F.unix_timestamp(F.try_to_timestamp(F.substring("at", 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")))
     order = F.struct(-F.coalesce(golden.trust(F.col("data_confidence")), F.lit(-1)), -golden.completeness(fields), -F.coalesce(second, F.lit(-(1 << 40))), F.col("id"))
     return golden.merged(rows, "group_id", fields, order)

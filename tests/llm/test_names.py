@@ -23,18 +23,79 @@ def test_distance_and_alignment():
     assert N.aligned(["befayaturkenho"], ["turkenho", "befaya"]) == "same"
 
 
-def test_index_finds_all_pairs_within_its_reach():
-    rng = random.Random(7)
-    letters = "abcdefg"
-    for _ in range(300):
-        a, b = ("".join(rng.choice(letters) for _ in range(7)) for _ in range(2))
-
-        def edit(t):
-            i = rng.randrange(len(t) - 1)
-            return rng.choice([t[:i] + t[i + 1 :], t[:i] + rng.choice(letters) + t[i:], t[:i] + rng.choice(letters) + t[i + 1 :], t[:i] + t[i + 1] + t[i] + t[i + 2 :]])
+def edit(rng, t, letters="abcdefg"):
+    i = rng.randrange(len(t) - 1)
+    return rng.choice([t[:i] + t[i + 1 :], t[:i] + rng.choice(letters) + t[i:], t[:i] + rng.choice(letters) + t[i + 1 :], t[:i] + t[i + 1] + t[i] + t[i + 2 :]])
+
+
+def test_distance_within_a_band():
+    def full(a, b):
+        d = [[i + j if not i or not j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                    d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+        return d[-1][-1]
+
+    rng = random.Random(3)
+    for _ in range(2000):
+        a = "".join(rng.choice("abc") for _ in range(rng.randrange(8)))
+        b = edit(rng, edit(rng, a, "abc"), "abc") if len(a) > 3 and rng.random() < 0.7 else "".join(rng.choice("abc") for _ in range(rng.randrange(8)))
+        for most in (0, 1, 2, 9):
+            assert N.osa(a, b, most) == min(full(a, b), most + 1)
+
+
+def brute(p):
+    """All pairs of profiles, compared one by one: the root of each id."""
+
+    def contradict(x, y):
+        if x["legal"] and y["legal"]:
+            return x["legal"] != y["legal"]
+        one, two = ({*r["slugs"], r["legal"]} - {""} for r in (x, y))
+        return bool(x["slugs"] and y["slugs"] and not one & two and not (x["seen"] and x["seen"] == y["seen"]))
+
+    def support(x, y):
+        one, two = ({*r["slugs"], r["legal"]} - {""} for r in (x, y))
+        return bool(one & two or x["seen"] and x["seen"] == y["seen"])
 
-        one = set(N.keys_of([a, b], "", []))
-        assert one & set(N.keys_of([edit(b), edit(a)], "", [])) and one & set(N.keys_of([edit(edit(a)), b], "", []))
+    root = {i: i for i in p}
+    find = lambda i: i if root[i] == i else find(root[i])
+    known = {}
+    for a in p:
+        for b in p:
+            if a < b and p[a]["tab"] == p[b]["tab"]:
+                x, y = p[a], p[b]
+                sure = support(x, y)
+                k = (tuple(x["core"]), x["initials"], tuple(y["core"]), y["initials"])
+                for backed in (False, True)[: 1 + sure]:
+                    if (*k, backed) not in known:
+                        known[*k, backed] = N.aligned(list(x["core"]), list(y["core"]), x["initials"], y["initials"], backed)
+                other = x["sub"] and y["sub"] and x["sub"] != y["sub"] and "".join(x["core"]) != "".join(y["core"])
+                if ((known[*k, False] == "same" and not other) or (sure and known[*k, True] == "same")) and not contradict(x, y):
+                    root[max(find(a), find(b))] = min(find(a), find(b))
+    return {i: find(i) for i in p}
+
+
+def linked_roots(spark, df):
+    """The roots of the library's own links, by profile, and the profiles, both by id."""
+    prof = {r["id"]: r for r in next(N._profiles(iter([df.toPandas()]))).to_dict("records")}
+    return prof, {r.id: r.entity for r in N.linked(df).collect()}
+
+
+def test_index_finds_all_pairs_within_its_reach(spark):
+    rng = random.Random(7)
+    word = lambda n=7: "".join(rng.choice("abcdefg") for _ in range(n))
+    names, long = [], word(60)
+    for _ in range(60):
+        a, b = word(), word(rng.choice([3, 5, 7, 9]))
+        names += [[a, b], [edit(rng, b), edit(rng, a)], [edit(rng, edit(rng, a)), b], [a, edit(rng, edit(rng, b))], [a + b]]
+    names += [[long, "abc"], [edit(rng, edit(rng, long)), "abc"], [word(4) for _ in range(9)]]
+    names += [[*names[-1][:6], *(edit(rng, t) for t in names[-1][6:])], [*names[-1][::-1]], ["common", "abcdefg"], ["common", "abdcefg"], *(["common", word()] for _ in range(3 * N.COMMON))]
+    forms = spark.createDataFrame([("startups", i, n, "", len(n)) for i, n in enumerate(names)], "tab string, fid long, core array<string>, initials string, n int")
+    got = {(r.a, r.b) for r in N.candidates(forms, spark.createDataFrame([], "tab string, fid long, key string")).collect()}
+    want = {(i, j) for i, a in enumerate(names) for j, b in enumerate(names) if i < j and len(a) == len(b) and N.aligned(a, b) == "same"}
+    assert len(want) > 150 and not want - got
 
 
 def table(spark, data):
@@ -100,16 +161,55 @@ def test_middles_of_a_key_are_compared(spark):
 def test_links_as_if_all_pairs_were_compared(spark):
     rng = random.Random(11)
     given, family = ["Mehmet", "Murat", "Mert", "Ada", "Aylin"], ["Yilmaz", "Yilmas", "Gurlone", "Gurlonebi"]
-    data = [("investors", i, f"{(g := rng.choice(given)) if rng.random() < 0.7 else g[0] + '.'} {rng.choice(family)}" if (g := rng.choice(given)) else "", None, rng.choice([None, None, f"site{i % 7}.example"]), rng.choice([None, "2024-01-02", "2024-02-03"])) for i in range(60)]
-    prof = next(N._profiles(iter([table(spark, data).toPandas()])))
-    p = {r["id"]: r for r in prof.to_dict("records")}
-    keys = {i: set(N.keys_of(r["core"], r["initials"], sorted({x for x in [*r["slugs"], r["legal"]] if x}))) for i, r in p.items()}
-    root = {i: i for i in p}
-    for _ in p:
-        for a in p:
-            for b in p:
-                if a < b and root[a] != root[b] and keys[a] & keys[b] and not N._conflict(p[a], p[b]) and N.aligned(p[a]["core"], p[b]["core"], p[a]["initials"], p[b]["initials"], N._support(p[a], p[b])) == "same":
-                    root = {k: root[a] if v == root[b] else v for k, v in root.items()}
-    got = {r.id: r.entity for r in N.linked(table(spark, data)).collect()}
+    n, legal = None, ["Ada Yilmaz A.Ş.", "Murat Gurlone Ltd. Şti."]
+    data = [
+        ("investors", i, f"{rng.choice(given) if rng.random() < 0.8 else rng.choice(given)[0] + '.'} {rng.choice(family)}", rng.choice([n, n, n, *legal]), rng.choice([n, n, f"site{i % 7}.example", "adayilmaz.example"]), rng.choice([n, "2024-01-02", "2024-02-03"])) for i in range(150)
+    ]
+    p, got = linked_roots(spark, table(spark, data))
+    root = brute(p)
     full = [i for i in p if not p[i]["initials"]]
+    assert len({root[i] for i in full}) > 5
     assert all((got[a] == got[b]) == (root[a] == root[b]) for a in full for b in full)
+
+
+def test_rows_in_the_middle_of_a_popular_name(spark):
+    """Own addresses, and a first day that only the middle two share: these are one, the outer two are not."""
+    data = [("startups", i, "Nova Merkur", None, f"{w}.example", f"200{y}-01-01") for i, w, y in ((1, "aaa", 1), (2, "bbb", 2), (3, "ccc", 2), (4, "ddd", 4))]
+    assert groups(spark, data) == [[1], [2, 3], [4]]
+
+
+def test_hot_keys_change_nothing(spark, monkeypatch):
+    import tessella.session as S
+
+    rng = random.Random(2)
+    data = [("startups", i, "Nova Merkur" if i % 3 else f"Nova Merku{rng.choice('abc')}", None, f"w{i % 40}.example", rng.choice([None, "2001-01-01"])) for i in range(900)]
+    want = groups(spark, data)
+    monkeypatch.setattr(S, "HOT", 100)
+    assert groups(spark, data) == want
+
+
+def test_recall_against_all_pairs_of_a_whole_table(spark):
+    import os
+
+    d = "/root/testdata/sf0.01"
+    if not os.path.isdir(d):
+        pytest.skip("no test tables")
+    import __spark_entry__ as entry  # noqa: F401
+    from tessella.llm import queries
+
+    seen = {}
+    keep = N.linked
+    try:
+        N.linked = lambda df: seen.setdefault("df", df)
+        queries._entities(spark, d)
+    finally:
+        N.linked = keep
+    df = seen["df"].withColumn("id", seen["df"].id + (seen["df"].tab == "investors").cast("long") * 1_000_000)
+    p, got = linked_roots(spark, df)
+    root = brute({i: r for i, r in p.items() if r["core"]})
+    parts: dict[int, list[int]] = {}
+    for i, r in root.items():
+        parts.setdefault(r, []).append(i)
+    pairs = [(a, b) for g in parts.values() for a in g for b in g if a < b]
+    found = sum(got[a] == got[b] or p[a]["sub"] + p[a]["legal_sub"] != p[b]["sub"] + p[b]["legal_sub"] for a, b in pairs)
+    assert len(pairs) > 100 and found >= 0.97 * len(pairs)
