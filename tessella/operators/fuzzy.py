@@ -73,20 +73,20 @@ def sorted_tokens(c: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(F.split(c, "\\s+"), lambda w: w != "")), " ")
 
 
-def grams(c: Column, told_apart: bool = True) -> Column:
-    """The Q-grams of a text as hashes, repeats told apart by their number if wanted; a shorter text is its own gram."""
+def grams(c: Column, told_apart: bool = True, q: int = Q) -> Column:
+    """The q-grams of a text as hashes, repeats told apart by their number if wanted; a shorter text is its own gram."""
     n = F.length(c)
-    raw = F.when(n < Q, F.array(c)).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(n - (Q - 1), F.lit(1))), lambda i: c.substr(i, F.lit(Q))))
+    raw = F.when(n < q, F.array(c)).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(n - (q - 1), F.lit(1))), lambda i: c.substr(i, F.lit(q))))
     if told_apart:
         raw = F.transform(F.array(raw), lambda r: F.transform(r, lambda g, i: F.concat_ws("#", g, F.size(F.filter(F.slice(r, 1, i), lambda x: x == g)).cast("string"))))[0]
     return F.array_distinct(F.transform(raw, lambda g: F.xxhash64(g)))
 
 
-def _ranked(texts: DataFrame, c: str, edits: Column, told_apart: bool, df: DataFrame) -> DataFrame:
+def _ranked(texts: DataFrame, c: str, edits: Column, told_apart: bool, df: DataFrame, q: int) -> DataFrame:
     """(c, all, first): the grams of each distinct text and the rarest of them that one must share with it."""
-    g = texts.select(c).distinct().select(c, F.explode(grams(F.col(c), told_apart)).alias("g")).join(df, "g")
+    g = texts.select(c).distinct().select(c, F.explode(grams(F.col(c), told_apart, q)).alias("g")).join(df, "g")
     g = g.groupBy(c).agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("s"))
-    return g.select(c, F.transform("s", lambda x: x["g"]).alias(f"all_{c}"), F.transform(F.slice("s", 1, (edits * Q + 1).cast("int")), lambda x: x["g"]).alias(f"first_{c}"))
+    return g.select(c, F.transform("s", lambda x: x["g"]).alias(f"all_{c}"), F.transform(F.slice("s", 1, (edits * q + 1).cast("int")), lambda x: x["g"]).alias(f"first_{c}"))
 
 
 def candidates(left: DataFrame, right: DataFrame, least: float, whole: bool = True) -> DataFrame:
@@ -95,22 +95,36 @@ def candidates(left: DataFrame, right: DataFrame, least: float, whole: bool = Tr
     A similarity of t allows d = (a + b)(1 - t / 100) insertions and deletions, each of which spoils at most Q grams.
     So two similar texts share one of the rarest d Q + 1 grams of either (whole), or of the shorter among all of the
     longer (not whole), and as many grams in all as d edits leave. This is an equi-join on rare grams and a count, not a
-    comparison of all with all. Texts too short for their edits (d Q + 1 grams and fewer) are found if they share any gram.
+    comparison of all with all. Texts so short, or a similarity so low, that d edits may spoil every gram are looked up by
+    their single letters, of which each edit spoils one: nothing is lost. Null and empty texts have no candidates.
     """
+    by_grams = _candidates(left, right, least, whole, Q)
+    # a text has at most 2 d Q grams spoiled, as far as another of its own length goes; shorter and longer ones leave more
+    brief = lambda c: F.length(c) - 1 <= F.floor(2 * F.length(c) * (1 - least / 100.0) + 1e-9) * Q
+    if not whole:  # grams of the shorter text are not told apart, so it may have fewer than letters
+        brief = lambda c: F.when(F.length(c) < Q, 0).otherwise(F.size(grams(F.col(c), False))) <= F.floor(2 * F.length(c) * (1 - least / 100.0) + 1e-9) * Q
+        by_letters = _candidates(left.filter(brief("l")), right, least, whole, 1).unionByName(_candidates(left, right.filter(brief("r")), least, whole, 1))
+    else:
+        by_letters = _candidates(left.filter(brief("l")), right.filter(brief("r")), least, whole, 1)
+    return by_grams.unionByName(by_letters).distinct()
+
+
+def _candidates(left: DataFrame, right: DataFrame, least: float, whole: bool, q: int) -> DataFrame:
     t = least / 100.0
+    apart = whole or q == 1
     edits = lambda c: F.floor(F.length(c) * (1 + (2 - t) / t) * (1 - t) + 1e-9) if whole else F.floor(2 * F.length(c) * (1 - t) + 1e-9)
     both = left.select(F.col("l").alias("x")).unionByName(right.select(F.col("r").alias("x"))).distinct()
-    df = both.select(F.explode(grams(F.col("x"), whole)).alias("g")).groupBy("g").agg(F.count("*").alias("df"))
-    L, R = _ranked(left, "l", edits(F.col("l")), whole, df), _ranked(right, "r", edits(F.col("r")), whole, df)
+    df = both.select(F.explode(grams(F.col("x"), apart, q)).alias("g")).groupBy("g").agg(F.count("*").alias("df"))
+    L, R = _ranked(left, "l", edits(F.col("l")), apart, df, q), _ranked(right, "r", edits(F.col("r")), apart, df, q)
     a, b = F.length("l"), F.length("r")
     shared = F.size(F.array_intersect("all_l", "all_r"))
     pick = lambda x, c, which: x.select(c, f"all_{c}", F.explode(f"{which}_{c}").alias("g"))
     if whole:
         most = F.floor((a + b) * (1 - t) + 1e-9)
-        p = pick(L, "l", "first").join(pick(R, "r", "first"), "g").filter((2 * F.least(a, b) >= t * (a + b) - 1e-9) & (shared >= F.greatest(F.size("all_l"), F.size("all_r")) - most * Q))
+        p = pick(L, "l", "first").join(pick(R, "r", "first"), "g").filter((2 * F.least(a, b) >= t * (a + b) - 1e-9) & (shared >= F.greatest(F.size("all_l"), F.size("all_r")) - most * q))
         return p.select("l", "r").distinct()
-    one = pick(L, "l", "first").join(pick(R, "r", "all"), "g").filter((a <= b) & (shared >= F.size("all_l") - edits(F.col("l")) * Q))
-    two = pick(R, "r", "first").join(pick(L, "l", "all"), "g").filter((b < a) & (shared >= F.size("all_r") - edits(F.col("r")) * Q))
+    one = pick(L, "l", "first").join(pick(R, "r", "all"), "g").filter((a <= b) & (shared >= F.size("all_l") - edits(F.col("l")) * q))
+    two = pick(R, "r", "first").join(pick(L, "l", "all"), "g").filter((b < a) & (shared >= F.size("all_r") - edits(F.col("r")) * q))
     return one.select("l", "r").unionByName(two.select("l", "r")).distinct()
 
 

@@ -88,17 +88,21 @@ def test_similarity():
 
 
 def test_candidates_lose_nothing(spark):
-    rng = random.Random(5)
-    words = ["".join(rng.choice("abcde") for _ in range(rng.randrange(3, 9))) for _ in range(40)]
-    mutate = lambda w: w if rng.random() < 0.4 else w[: (i := rng.randrange(len(w)))] + rng.choice(["", "x", "yz"]) + w[i + rng.randrange(2) :]
-    left = {" ".join(sorted(rng.sample(words, 2))) for _ in range(80)}
-    right = {" ".join(sorted(mutate(w) for w in x.split())) for x in left}
-    l, r = (spark.createDataFrame([(x,) for x in s], f"{c} string") for s, c in ((left, "l"), (right, "r")))
+    left, right = {"ccddba ccea", "ab", "a", "aaaa"}, {"cxdcb eca", "ba", "ab", "aaab"}
+    for seed in (5, 6, 7):
+        rng = random.Random(seed)
+        words = ["".join(rng.choice("abcde") for _ in range(rng.randrange(3, 9))) for _ in range(40)]
+        mutate = lambda w: w if rng.random() < 0.4 else w[: (i := rng.randrange(len(w)))] + rng.choice(["", "x", "yz"]) + w[i + rng.randrange(2) :]  # noqa: E731, B023
+        some = sorted({" ".join(sorted(rng.sample(words, 2))) for _ in range(60)})
+        left |= {*some, *words[:10]}
+        right |= {" ".join(sorted(mutate(w) for w in x.split())) for x in some} | {mutate(w) for w in words[:10]} - {""}
+    l, r = (spark.createDataFrame([(x,) for x in sorted(s)], f"{c} string") for s, c in ((left, "l"), (right, "r")))
     for least in (60, 80, 88):
         got = {tuple(x) for x in fuzzy.candidates(l, r, least).collect()}
         assert {(a, b) for a in left for b in right if fuzzy.ratio(a, b) >= least} <= got
-    part = {tuple(x) for x in fuzzy.candidates(l, r, 92, False).collect()}
-    assert {(a, b) for a in left for b in right if fuzzy.partial(a, b) >= 92 and min(len(a), len(b)) >= 8} <= part
+    for least in (60, 92):
+        part = {tuple(x) for x in fuzzy.candidates(l, r, least, False).collect()}
+        assert {(a, b) for a in left for b in right if fuzzy.partial(a, b) >= least} <= part
 
 
 def test_matched_stages(spark, rows):
