@@ -24,47 +24,79 @@ TITLES = re.compile(r"^(?:(?:prof|doç|doc|dr|sn|mr|mrs|ms|bay|bayan|av|ing|dipl
 LEGAL_RE = re.compile(rf"^(?:{LEGAL})\.?$", re.I)
 MARK = re.compile(r"^\s*(?:[-*•‣▪–—]\s+|\(?\d{1,2}[.)]\s+|\(?[a-hA-H]\)\s+)")
 NUMBERED = re.compile(r"(?:^|[\s;,|])\(?(\d{1,2})[.)]\s+(?=\S)")
-#: share of regular pieces from which a delimiter counts as one of a field's own
-REGULAR = 0.8
+#: share of regular pieces from which a delimiter is one of a field's own; a lesser one is enough for those that are checked in each value again
+REGULAR, CHECKED = 0.75, 0.5
+#: delimiters that also stand inside names: each value is checked again before they split it
+INSIDE = ("ampersand", "conjunction", "plus", "hyphen", "spaced hyphen", "dot", "blank")
+LISTED = "[\\r\\n\\t|;；·•，、,]| / | \\+ "
+#: spread of the piece counts, by their mean, beyond which a delimiter is no delimiter
+SPREAD = 2.0
 
 
 def score(values: DataFrame) -> DataFrame:
-    """(field, delimiter, n_values, regular, mean_pieces, sd_pieces, least, own) over values(field, value).
+    """(field, delimiter, n_values, regular, mean_pieces, sd_pieces, least, own) over values(field, value); a field stands for a source.
 
     Delimiter-free values show what a whole item of the field looks like: `least` words at least (5th percentile; names
     have two, technologies one). A piece is regular if it has so many words and starts with a letter or digit; where
-    one word makes an item, it must also stand alone as some delimiter-free value. regular is the share of values
-    all of whose pieces are; sd_pieces tells how consistent the piece counts are. own: regular >= REGULAR.
+    one word makes an item, it must also stand alone as some delimiter-free value, once it is split at the other strong
+    delimiters. Delimiters of INSIDE are looked for in what the strong ones leave together. After a comma, legal endings belong to what precedes them, and lone words that come in pairs are names written
+    the other way round. regular is the share of regular pieces; sd_pieces tells how consistent the piece counts are.
+    own: regular from REGULAR on (CHECKED for those of INSIDE) and sd_pieces / mean_pieces within SPREAD.
     """
     v = values.withColumn("v", F.trim(F.regexp_replace("value", "\"|\\([^)]*\\)|[\\[\\]]", "")))
-    strong = "[\\r\\n\\t|;；·•，、,]| / | \\+ | & | (?:ve|and|und|et) "
+    strong = LISTED + "| & | (?:ve|and|und|et) "
     single = v.filter(~F.col("v").rlike(strong) & (F.col("v") != ""))
     words = single.groupBy("field").agg(F.percentile_approx(F.size(F.split("v", " +")), 0.05).alias("least"))
-    cands = F.array(*(F.struct(F.lit(n).alias("delimiter"), F.filter(F.transform(F.split(F.col("v"), p), lambda x: F.trim(F.regexp_replace(x, "^\\s*(?:[-*•] |\\(?\\d+[.)] )|\\s+$", ""))), lambda x: x != "").alias("pieces")) for n, p in DELIMITERS.items()))
+    clean = lambda x: F.trim(F.regexp_replace(x, "^\\s*(?:[-*•] |\\(?\\d+[.)] )|\\s+$", ""))
+    none = F.array().cast("array<string>")
+    fused = F.regexp_replace("v", f"(?i), ?(?=(?:{LEGAL})\\.?(?:$|[,;|&]| (?:ve|and|und|et) ))", " ")
+    split = lambda c, p: F.filter(F.transform(F.split(c, p), clean), lambda x: x != "")
+    within = lambda p: F.flatten(F.filter(F.transform(F.split("v", LISTED), lambda c: F.when(c.rlike(p), split(c, p)).otherwise(none)), lambda x: F.size(x) > 1))
+    cut = lambda n, p: F.when(F.col("v").rlike(p), within(p) if n in INSIDE else split(fused if n == "comma" else F.col("v"), p)).otherwise(none)
+    cands = F.array(*(F.struct(F.lit(n).alias("delimiter"), cut(n, p).alias("pieces")) for n, p in DELIMITERS.items()))
     # the words table has one row per field
-    x = v.join(F.broadcast(words), "field").select("field", "least", "v", F.explode(cands).alias("c")).filter(F.size("c.pieces") > 1)
-    shape = lambda p: (F.size(F.split(p, " +")) >= F.col("least")) & p.rlike("^[\\p{L}\\p{N}]")
-    x = x.select("field", "least", F.col("c.delimiter").alias("delimiter"), F.col("c.pieces").alias("pieces"), F.forall("c.pieces", shape).alias("fine"))
-    short = x.filter((F.col("least") == 1) & F.col("fine"))
-    whole = single.join(F.broadcast(words.filter("least = 1")), "field", "left_semi").select("field", F.col("v").alias("piece")).distinct()
-    known = short.select("field", "delimiter", F.xxhash64("pieces").alias("k"), F.explode(F.array_distinct("pieces")).alias("piece")).distinct().join(whole.withColumn("there", F.lit(1)), ["field", "piece"], "left")
-    odd = known.filter("there is null").select("field", "delimiter", "k").distinct().withColumn("odd", F.lit(True))
-    x = x.withColumn("k", F.xxhash64("pieces")).join(odd, ["field", "delimiter", "k"], "left").withColumn("fine", F.col("fine") & F.col("odd").isNull())
-    out = x.groupBy("field", "delimiter").agg(F.count("*").alias("n_values"), F.avg(F.col("fine").cast("double")).alias("regular"), F.avg(F.size("pieces")).alias("mean_pieces"), F.coalesce(F.stddev(F.size("pieces")), F.lit(0.0)).alias("sd_pieces"), F.max("least").alias("least"))
-    return out.withColumn("own", F.col("regular") >= REGULAR)
+    x = v.join(F.broadcast(words), "field").select("field", "least", F.explode(cands).alias("c")).filter(F.size("c.pieces") > 1).select("field", "least", "c.*")
+    counts = x.groupBy("field", "delimiter").agg(F.count("*").alias("n_values"), F.avg(F.size("pieces")).alias("mean_pieces"), F.coalesce(F.stddev(F.size("pieces")), F.lit(0.0)).alias("sd_pieces"), F.max("least").alias("least"))
+    size = lambda y: F.size(F.split(y, " +"))
+    begins = lambda y: y.rlike("^[\\p{L}\\p{N}]")
+    lone = F.size(F.filter("pieces", lambda y: (size(y) == 1) & begins(y)))
+    paired = (F.col("delimiter") == "comma") & (lone % 2 == 0)
+    long = x.filter("least > 1").select("field", "delimiter", F.size("pieces").alias("n"), F.size(F.filter("pieces", lambda y: begins(y) & ((size(y) >= F.col("least")) | paired & (size(y) == 1)))).alias("fine"))
+    long = long.groupBy("field", "delimiter").agg((F.sum("fine") / F.sum("n")).alias("regular"))
+    # where one word makes an item: each distinct piece once, with its frequency, against the values that stand alone
+    whole = single.join(F.broadcast(words.filter("least = 1")), "field", "left_semi").select("field", F.col("v").alias("piece")).distinct().withColumn("there", F.lit(1))
+    short = x.filter("least = 1").select("field", "delimiter", F.explode("pieces").alias("y")).groupBy("field", "delimiter", "y").agg(F.count("*").alias("n"))
+    short = short.select("field", "delimiter", "n", F.explode(F.split("y", strong)).alias("piece")).withColumn("piece", clean(F.col("piece"))).filter("piece <> ''")
+    short = short.join(whole.hint("merge"), ["field", "piece"], "left").groupBy("field", "delimiter").agg((F.sum(F.when(F.col("there").isNotNull() & begins(F.col("piece")), F.col("n")).otherwise(0)) / F.sum("n")).alias("regular"))
+    # one row per field and delimiter
+    out = counts.join(F.broadcast(long.unionByName(short)), ["field", "delimiter"], "left").withColumn("regular", F.coalesce("regular", F.lit(0.0)))
+    enough = F.when(F.col("delimiter").isin(*INSIDE), CHECKED).otherwise(REGULAR)
+    own = (F.col("regular") >= enough) & (F.col("sd_pieces") <= SPREAD * F.col("mean_pieces"))
+    return out.select("field", "delimiter", "n_values", "regular", "mean_pieces", "sd_pieces", "least", own.alias("own"))
+
+
+#: stand-ins of protected pieces: the private-use planes
+HELD = re.compile("[\U000f0000-\U0010ffff]")
+MOST_HELD = 0x1FFFF
 
 
 def _protect(text: str, seps: re.Pattern) -> tuple[str, list[str]]:
-    """Quoted pieces and brackets as one private-use character each."""
+    """Quoted pieces and brackets, and private-use characters that the text itself holds, as one private-use character each."""
     kept: list[str] = []
 
     def keep(s: str) -> str:
         kept.append(s)
-        return chr(0xE000 + len(kept) - 1)
+        return chr(0xF0000 + len(kept) - 1)
 
+    if text.count('"') + text.count("(") + len(HELD.findall(text)) > MOST_HELD:
+        return text, [chr(0xF0000 + k) for k in range(MOST_HELD + 1)]  # more than there are stand-ins: nothing is protected
     out, i, start = [], 0, True
     while i < len(text):
         c = text[i]
+        if HELD.match(c):
+            out.append(keep(c))
+            i, start = i + 1, False
+            continue
         if c == "(" and (j := text.find(")", i)) > 0:
             out.append(keep(text[i : j + 1]))
             i, start = j + 1, False
@@ -93,13 +125,13 @@ def _protect(text: str, seps: re.Pattern) -> tuple[str, list[str]]:
 
 
 def _words(piece: str) -> int:
-    return len([w for w in piece.split() if not (len(w) == 1 and 0xE000 <= ord(w) < 0xF000) and not TITLES.match(w)])
+    return len([w for w in piece.split() if not HELD.fullmatch(w) and not TITLES.match(w)])
 
 
 def split_value(text: str, own: set[str], least: int) -> list[str]:
     """The items of one value, in written order. own: the delimiters inferred for its field; least: words of a whole item.
 
-    An item is never less than whole: a comma before a legal ending, between a lone surname and its given name, and an
+    Nothing is split but at these. An item is never less than whole: a comma before a legal ending, between a lone surname and its given name, and an
     ampersand after a lone word join their neighbours instead of parting them.
     """
     t = text.strip()
@@ -114,10 +146,9 @@ def split_value(text: str, own: set[str], least: int) -> list[str]:
     if "&" in t and ";" in t:
         t = html.unescape(t)
     hard = [d for d in ("newline", "tab", "double bar", "bar", "semicolon", "middle dot", "wide comma", "spaced slash", "spaced plus", "slash") if d in own]
-    soft = [d for d in ("comma", "ampersand", "conjunction") if d in own or d != "comma"]
-    seps = re.compile("|".join(DELIMITERS[d] for d in [*hard, *soft, "comma"]))
+    seps = re.compile("|".join(DELIMITERS[d] for d in [*hard, "ampersand", "conjunction", "comma"]))
     body, kept = _protect(t, seps)
-    back = lambda s: re.sub(r"[-]", lambda m: kept[ord(m[0]) - 0xE000], s)
+    back = lambda s: HELD.sub(lambda m: kept[ord(m[0]) - 0xF0000], s)
     if MARK.match(t) and not re.match(r"\s*\(?[a-hA-H]\)", t):
         body, kept = t, []
         marks = [m for m in NUMBERED.finditer(t)]
@@ -132,13 +163,23 @@ def split_value(text: str, own: set[str], least: int) -> list[str]:
         pieces = re.split("|".join(DELIMITERS[d] for d in hard), body)
     out: list[str] = []
     for piece in pieces:
-        out += _soft(piece.strip(" ,"), least)
+        out += [q for p in _soft(piece.strip(" ,"), own, least) for q in _inside(p, own, least)]
     return [s for s in (MARK.sub("", back(p)).strip() if len(p) > 1 else back(p).strip() for p in out) if s and s not in ('"', "-")]
 
 
-def _soft(piece: str, least: int) -> list[str]:
+def _inside(piece: str, own: set[str], least: int) -> list[str]:
+    """Split at an inferred delimiter that may also stand inside a name, if all that comes out is whole."""
+    for d in ("spaced hyphen", "plus", "hyphen", "dot", "blank"):
+        if d in own:
+            got = [s.strip() for s in re.split(DELIMITERS[d], piece)]
+            if len(got) > 1 and all(_words(s) >= least for s in got):
+                return [q for s in got for q in _inside(s, own - {d}, least)]
+    return [piece]
+
+
+def _soft(piece: str, own: set[str], least: int) -> list[str]:
     parts: list[str] = []
-    for p in (x.strip() for x in piece.split(",")):
+    for p in (x.strip() for x in (piece.split(",") if "comma" in own else [piece])):
         if not p:
             continue
         lead = re.match(r"(?:&|ve|and|und|et) (?=\S)", p)
@@ -157,7 +198,7 @@ def _soft(piece: str, least: int) -> list[str]:
             parts.append(p)
     out: list[str] = []
     for p in parts:
-        out += _conjoined(p, least)
+        out += _conjoined(p, own, least)
     return out
 
 
@@ -167,8 +208,11 @@ def _conj_head(p: str) -> bool:
     return len(head) > 1 and _words(head[0]) == 1
 
 
-def _conjoined(p: str, least: int) -> list[str]:
-    bits = re.split(r" (&|ve|and|und|et) ", p)
+def _conjoined(p: str, own: set[str], least: int) -> list[str]:
+    between = [w for d, w in (("ampersand", "&"), ("conjunction", "ve|and|und|et")) if d in own]
+    if not between:
+        return [p] if p.strip() else []
+    bits = re.split(f" ({'|'.join(between)}) ", p)
     out, i = [bits[0]], 1
     while i < len(bits):
         word, nxt = bits[i], bits[i + 1]
