@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import struct
 from collections.abc import Iterator
-from datetime import UTC, datetime, timedelta
-from zoneinfo import ZoneInfo, available_timezones
+from datetime import UTC, date, datetime, timedelta
+from importlib import resources
+from zoneinfo import TZPATH, ZoneInfo, available_timezones
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,7 +43,9 @@ WEEKDAYS = [
 ]
 # Zone abbreviations with one common meaning, in minutes.
 OFFSETS = {"z": 0, "utc": 0, "gmt": 0, "wet": 0, "bst": 60, "west": 60, "cet": 60, "cest": 120, "eet": 120, "eest": 180, "trt": 180, "msk": 180, "jst": 540, "est": -300, "edt": -240, "cdt": -300, "mst": -420, "mdt": -360, "pst": -480, "pdt": -420}
-FIRST, LAST = 1990, 2040
+#: years of the table of offsets, and how many of them share a row. No zone changed before FIRST; from LAST on, a year has
+#: the offsets of an earlier one with the same calendar, as the rules for all later years name weekdays of months
+FIRST, LAST, BLOCK = 1832, 2191, 8
 ZONE = "(z|[a-z]{3,4}|(?:utc|gmt)?[+-]\\d{1,2}(?::?\\d{2})?|[a-z]+/[a-z_]+(?:/[a-z_]+)?)"
 TIME = "(\\d{1,2})[:.h](\\d{2})(?::(\\d{2})(?:[.,]\\d+)?)?"
 
@@ -54,34 +59,69 @@ NOTATIONS = {
 }
 
 
+def _recorded(name: str) -> list[tuple[int, int]] | None:
+    """(instant, offset from then on) of a zone's recorded changes, out of the public tz files; None if these are not at hand."""
+    for folder in TZPATH:
+        path = os.path.join(folder, name)
+        if os.path.isfile(path):
+            with open(path, "rb") as f:
+                data = f.read()
+            break
+    else:
+        try:
+            data = resources.files("tzdata.zoneinfo").joinpath(name).read_bytes()
+        except (ModuleNotFoundError, FileNotFoundError):
+            return None
+    counts = lambda at: struct.unpack(">6l", data[at + 20 : at + 44])
+    if data[:4] != b"TZif" or data[4:5] < b"2":
+        return None
+    utc, std, leap, times, types, chars = counts(0)
+    at = 44 + times * 5 + types * 6 + chars + leap * 8 + std + utc
+    _, _, _, times, types, _ = counts(at)
+    at += 44
+    when = struct.unpack(f">{times}q", data[at : at + 8 * times])
+    kind = data[at + 8 * times : at + 9 * times]
+    offsets = [struct.unpack(">l", data[at + 9 * times + 6 * k : at + 9 * times + 6 * k + 4])[0] for k in range(types)]
+    return [(t, offsets[k]) for t, k in zip(when, kind, strict=True)]
+
+
 def _intervals(names: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Spans of constant offset of each zone, by weekly samples and bisection, one row per zone and local year."""
+    """Spans of constant offset of each zone, one row per zone and local block of years: recorded changes first, then those that its rule for all later years makes, by monthly samples and bisection."""
+    second = lambda y: int(datetime(y, 1, 1, tzinfo=UTC).timestamp())
     for part in names:
         out = []
         for name in part["name"]:
             zone = ZoneInfo(name)
             off = lambda t, z=zone: int(datetime.fromtimestamp(t, UTC).astimezone(z).utcoffset() // timedelta(seconds=1))
-            start, end, step = (int(datetime(y, 1, 1, tzinfo=UTC).timestamp()) for y in (FIRST, LAST, FIRST)), None, 7 * 86400
-            lo, hi, _ = start
-            spans, begin, now = [], -(1 << 40), off(lo)
-            for t in range(lo, hi, step):
-                if (new := off(t + step)) != now:
-                    a, b = t, t + step
-                    while b - a > 1:
-                        mid = (a + b) // 2
-                        a, b = (mid, b) if off(mid) == now else (a, mid)
-                    spans.append((begin, b, now))
-                    begin, now = b, new
+            changes = _recorded(name)
+            step = 30 * 86400
+            if changes is None:
+                changes, step = [], 7 * 86400
+            spans, begin, now = [], -(1 << 40), off(second(FIRST))
+            for t, o in changes:
+                if o != now and t >= second(FIRST):
+                    spans.append((begin, t, now))
+                    begin, now = t, o
+            start = max([second(FIRST), *(t for t, _ in changes)])
+            if step < 30 * 86400 or len({off(second(LAST - 1) + k * step) for k in range(13)}) > 1:
+                for t in range(start, second(LAST + 1), step):
+                    if (new := off(t + step)) != now:
+                        a, b = t, t + step
+                        while b - a > 1:
+                            mid = (a + b) // 2
+                            a, b = (mid, b) if off(mid) == now else (a, mid)
+                        spans.append((begin, b, now))
+                        begin, now = b, new
             spans.append((begin, 1 << 40, now))
-            for year in range(FIRST, LAST + 1):
-                a, b = (int(datetime(y, 1, 1, tzinfo=UTC).timestamp()) for y in (year, year + 1))
+            for year in range(FIRST, LAST + 1, BLOCK):
+                a, b = (second(y) if FIRST < y <= LAST else (-(1 << 40) if y <= FIRST else 1 << 40) for y in (year, year + BLOCK))
                 near = [{"since": s + o, "until": e + o, "offset": o} for s, e, o in spans if e + o > a and s + o < b]
                 out.append((name.lower(), year, near))
         yield pd.DataFrame(out, columns=["zone", "year", "spans"])
 
 
 def zone_intervals(spark: SparkSession, zones: list[str]) -> DataFrame:
-    """(zone, year, spans): for each zone its local-time spans of constant UTC offset, per local year; zone in lower case."""
+    """(zone, year, spans): for each zone its local-time spans of constant UTC offset, per block of local years; zone in lower case."""
     names = spark.createDataFrame([(z,) for z in zones], "name string").repartition(8)
     return names.mapInPandas(_intervals, "zone string, year int, spans array<struct<since:bigint,until:bigint,offset:bigint>>")
 
@@ -109,19 +149,24 @@ def taken_apart(text: Column) -> Column:
     return F.struct(bare.alias("s"), F.regexp_extract(s, lead, 1).alias("week"), F.split(chain, "\\|").alias("p"))
 
 
-def normalised(df: DataFrame, text: str, zone: Column, order: Column, zones: bool = True) -> DataFrame:
+def _calendars() -> dict[int, int]:
+    """A late year of the table for each kind of calendar: the weekday of its first day, plus seven for a leap year."""
+    return {date(y, 1, 1).weekday() + (7 if date(y, 12, 31).timetuple().tm_yday == 366 else 0): y for y in range(LAST - 27, LAST + 1)}
+
+
+def normalised(df: DataFrame, text: str, zone: Column, order: Column) -> DataFrame:
     """df with (normal, status): a UTC instant `YYYY-MM-DDThh:mm:ssZ` or a day `YYYY-MM-DD`.
 
     order (`DMY`, `MDY` or null) settles all-numeric dates that could be read both ways; null leaves those unread.
-    zone: the zone of times without one, an IANA name or minutes east of UTC as text, or null. status: `ok`,
+    Texts of any length and years of 1 to 9999 are read. zone: the zone of times without one, an IANA name or minutes east of UTC as text, or null. status: `ok`,
     `ambiguous` (a local time that happens twice), `nonexistent` (one that is skipped), `no_zone`, `unread` (not one
-    full real date: partial, relative, impossible, missing), in which case normal is null. Null, empty and very long
-    texts are `unread`. zones=False saves the table of zones where no zone has a name; a named one is `no_zone` then. Other columns stay as they are, whatever
+    full real date: partial, relative, impossible, missing), in which case normal is null. Null and empty
+    texts are `unread`. Other columns stay as they are, whatever
     their names; ones named like a result give way to it. No row is shuffled: the offset spans
     are looked up as of the local time in a table of zone and year.
     """
     num = lambda c: F.when(c != "", c).cast("int")
-    x = packed(df, _t=F.when(F.length(text) <= 100, F.col(text)), _zone=zone, _order=order)
+    x = packed(df, _t=F.col(text), _zone=zone, _order=order)
     x = x.withColumn("_r", taken_apart(F.col("_t")))
     s = F.col("_r.s")
     p = {g: F.col("_r.p")[i] for i, g in enumerate(["via", *ORDER])}
@@ -163,16 +208,20 @@ def normalised(df: DataFrame, text: str, zone: Column, order: Column, zones: boo
     own = F.col("_zone").rlike("^[+-]?\\d+$")
     minutes = F.when(z != "", given).when(own, F.col("_zone").cast("int"))
     x = x.withColumn("_epoch", epoch).withColumn("_minutes", F.when(named.isNull(), minutes)).withColumn("_named", F.lower(F.when(named.isNotNull(), named).when((z == "") & ~own, F.col("_zone"))))
-    x = x.withColumn("_lookup", F.when(F.col("_local").isNotNull() & F.col("_minutes").isNull(), F.col("_named"))).withColumn("_year", F.year(F.date_from_unix_date("_days")))
-    if zones:
-        spark = df.sparkSession
-        # all zones of the public tz database: a list of fixed size
-        every = [n for n in sorted(available_timezones()) if "/" in n and not n.startswith(("Etc/", "SystemV/", "posix/", "right/")) or n == "UTC"]
-        spans = zone_intervals(spark, every).withColumnsRenamed({"zone": "_zk", "year": "_zy", "spans": "_spans"})
-        x = x.join(F.broadcast(spans), (F.col("_lookup") == F.col("_zk")) & (F.col("_year") == F.col("_zy")), "left")
-    else:
-        x = x.withColumn("_spans", F.lit(None).cast("array<struct<since:bigint,until:bigint,offset:bigint>>"))
-    x = x.withColumn("_at", F.filter("_spans", lambda v: (F.col("_local") >= v["since"]) & (F.col("_local") < v["until"])))
+    x = x.withColumn("_lookup", F.when(F.col("_local").isNotNull() & F.col("_minutes").isNull(), F.col("_named")))
+    year = F.year(F.date_from_unix_date("_days"))
+    new_year = F.unix_date(F.make_date(year, F.lit(1), F.lit(1)))
+    alike = F.try_element_at(F.create_map(*(F.lit(v) for kv in _calendars().items() for v in kv)), F.weekday(F.date_from_unix_date(new_year)) + F.when(F.dayofyear(F.make_date(year, F.lit(12), F.lit(31))) == 366, 7).otherwise(0))
+    moved = F.when(year > LAST, F.unix_date(F.make_date(alike, F.lit(1), F.lit(1))) - new_year).otherwise(0)  # days
+    x = x.withColumn("_like", F.col("_local") + moved.cast("long") * 86400)
+    block = F.greatest(F.when(year > LAST, alike).otherwise(year), F.lit(FIRST))
+    x = x.withColumn("_block", block - (block - FIRST) % BLOCK)
+    spark = df.sparkSession
+    # all zones of the public tz database: a list of fixed size
+    every = [n for n in sorted(available_timezones()) if "/" in n and not n.startswith(("Etc/", "SystemV/", "posix/", "right/")) or n == "UTC"]
+    spans = zone_intervals(spark, every).withColumnsRenamed({"zone": "_zk", "year": "_zy", "spans": "_spans"})
+    x = x.join(F.broadcast(spans), (F.col("_lookup") == F.col("_zk")) & (F.col("_block") == F.col("_zy")), "left")
+    x = x.withColumn("_at", F.filter("_spans", lambda v: (F.col("_like") >= v["since"]) & (F.col("_like") < v["until"])))
     n = F.size("_at")
     utc = F.coalesce(F.col("_epoch"), F.col("_local") - F.col("_minutes") * 60, F.when(n == 1, F.col("_local") - F.col("_at")[0]["offset"]))
     day = F.when(~F.coalesce(F.col("_timed"), F.lit(False)) & F.col("_epoch").isNull(), F.col("_days"))

@@ -55,6 +55,21 @@ def test_against_zoneinfo(spark):
     assert [g[0] for g in got] == want
 
 
+def test_years_far_from_now(spark):
+    from datetime import datetime
+    from zoneinfo import ZoneInfo
+
+    for zone in ("Europe/Berlin", "America/New_York", "Africa/Casablanca", "Asia/Kolkata", "Australia/Sydney"):
+        texts = [f"{y:04d}-{m:02d}-15 10:00:00" for y in (1, 1700, 1893, 1916, 1945, 1985, 2037, 2045, 2099, 2190, 2191, 2192, 2193, 2200, 2400, 3001, 9999) for m in (2, 7)]
+        utc = [datetime.fromisoformat(t).replace(tzinfo=ZoneInfo(zone)) for t in texts]
+        want = [(u - u.utcoffset()).replace(tzinfo=None).strftime("%Y-%m-%dT%H:%M:%SZ").rjust(20, "0") if u.year > 1 or u.utcoffset().total_seconds() else None for u in utc]
+        assert [g[0] for g in run(spark, texts, zone=zone)] == want
+
+
+def test_blanks_and_fractions_of_any_length(spark):
+    assert run(spark, ["2024-03-05" + " " * 500, " " * 300 + "5 Mart" + " " * 300 + "2024", "2024-07-05T10:00:00." + "1" * 300 + "Z"]) == [("2024-03-05", "ok"), ("2024-03-05", "ok"), ("2024-07-05T10:00:00Z", "ok")]
+
+
 def test_empty(spark):
     assert run(spark, []) == []
 
