@@ -56,23 +56,23 @@ def score(values: DataFrame) -> DataFrame:
     cands = F.array(*(F.struct(F.lit(n).alias("delimiter"), cut(n, p).alias("pieces")) for n, p in DELIMITERS.items()))
     # the words table has one row per field
     x = v.join(F.broadcast(words), "field").select("field", "least", F.explode(cands).alias("c")).filter(F.size("c.pieces") > 1).select("field", "least", "c.*")
-    counts = x.groupBy("field", "delimiter").agg(F.count("*").alias("n_values"), F.avg(F.size("pieces")).alias("mean_pieces"), F.coalesce(F.stddev(F.size("pieces")), F.lit(0.0)).alias("sd_pieces"), F.max("least").alias("least"))
     size = lambda y: F.size(F.split(y, " +"))
     begins = lambda y: y.rlike("^[\\p{L}\\p{N}]")
     lone = F.size(F.filter("pieces", lambda y: (size(y) == 1) & begins(y)))
     paired = (F.col("delimiter") == "comma") & (lone % 2 == 0)
-    long = x.filter("least > 1").select("field", "delimiter", F.size("pieces").alias("n"), F.size(F.filter("pieces", lambda y: begins(y) & ((size(y) >= F.col("least")) | paired & (size(y) == 1)))).alias("fine"))
-    long = long.groupBy("field", "delimiter").agg((F.sum("fine") / F.sum("n")).alias("regular"))
+    fine = F.when(F.col("least") > 1, F.size(F.filter("pieces", lambda y: begins(y) & ((size(y) >= F.col("least")) | paired & (size(y) == 1)))))
+    n = F.size("pieces")
+    counts = x.groupBy("field", "delimiter").agg(F.count("*").alias("n_values"), F.avg(n).alias("mean_pieces"), F.coalesce(F.stddev(n), F.lit(0.0)).alias("sd_pieces"), F.max("least").alias("words"), (F.sum(fine) / F.sum(n)).alias("long"))
     # where one word makes an item: each distinct piece once, with its frequency, against the values that stand alone
     whole = single.join(F.broadcast(words.filter("least = 1")), "field", "left_semi").select("field", F.col("v").alias("piece")).distinct().withColumn("there", F.lit(1))
     short = x.filter("least = 1").select("field", "delimiter", F.explode("pieces").alias("y")).groupBy("field", "delimiter", "y").agg(F.count("*").alias("n"))
     short = short.select("field", "delimiter", "n", F.explode(F.split("y", strong)).alias("piece")).withColumn("piece", clean(F.col("piece"))).filter("piece <> ''")
     short = short.join(whole.hint("merge"), ["field", "piece"], "left").groupBy("field", "delimiter").agg((F.sum(F.when(F.col("there").isNotNull() & begins(F.col("piece")), F.col("n")).otherwise(0)) / F.sum("n")).alias("regular"))
     # one row per field and delimiter
-    out = counts.join(F.broadcast(long.unionByName(short)), ["field", "delimiter"], "left").withColumn("regular", F.coalesce("regular", F.lit(0.0)))
+    out = counts.join(F.broadcast(short), ["field", "delimiter"], "left").withColumn("regular", F.coalesce("long", "regular", F.lit(0.0)))
     enough = F.when(F.col("delimiter").isin(*INSIDE), CHECKED).otherwise(REGULAR)
     own = (F.col("regular") >= enough) & (F.col("sd_pieces") <= SPREAD * F.col("mean_pieces"))
-    return out.select("field", "delimiter", "n_values", "regular", "mean_pieces", "sd_pieces", "least", own.alias("own"))
+    return out.select("field", "delimiter", "n_values", "regular", "mean_pieces", "sd_pieces", F.col("words").alias("least"), own.alias("own"))
 
 
 #: stand-ins of protected pieces: the private-use planes

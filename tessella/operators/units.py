@@ -60,25 +60,35 @@ def _scale(word: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), word)
 
 
-def readings(df: DataFrame, amount: str, code: str, notes: str, rates: DataFrame, evidence: str | None = None) -> DataFrame:
-    """df with (sum, currency, usd, n_readings, residual).
+#: what the columns say of a sum; each is an identity whose log residual a combination of units must keep small
+IDENTITIES = ("least", "cents", "beside", "noted", "mark")
+#: weights: sums that cannot be stated, a scale written beside the figure, one in the note, the plain sense of a mark
+IMPOSSIBLE, BESIDE, NOTED_WEIGHT, MARK = 1_000.0, 4.0, 2.0, 1.0
 
-    A figure may be read with its last mark as a decimal point or as a thousands mark, and with the scale beside it,
-    the scale of the note, or none. All readings become candidates; the identity sum x rate = dollars and the least
-    possible sum decide: readings below LEAST units or with fractions of a cent fall out, and among the rest the one with the
-    smallest |log10| residual against the plainest reading wins (the scale beside the figure before the note's, a
-    decimal point after a scale word, a thousands mark otherwise). n_readings > 1 flags a sum that is not unique.
-    residual is log10(usd / evidence), for reports only: the evidence column takes no part in the choice.
+
+def readings(df: DataFrame, amount: str, code: str, notes: str, rates: DataFrame, evidence: str | None = None, identities: tuple[str, ...] = IDENTITIES) -> DataFrame:
+    """df with (sum, sum_currency, usd, n_readings, residual).
+
+    The units of a figure are unknown: its last mark may be a decimal point or a thousands mark, its scale that
+    beside it, that of the note, or one. All combinations are candidates, and the one with the smallest sum of
+    weighted log10 residuals against these identities is chosen:
+    - least: sum >= LEAST units of its currency (residual log10(LEAST / sum));
+    - cents: sum x rate is a whole number of cents;
+    - beside, noted: sum = figure x the scale beside it, or x the scale of the note where none is beside it
+      (residual |log10| of the scale used by the scale stated);
+    - mark: figure = its plain reading: a decimal point where a scale is beside it, a thousands mark before three digits where not.
+    A combination that breaks one of the first two is impossible. n_readings counts the sums that are possible with
+    the scale as stated; more than one flags a sum that is not unique. residual is log10(usd / evidence), for
+    reports only: the evidence column takes no part in the choice.
 
     Null, blank, undisclosed, ranges, bounds, several figures and unknown currencies give nulls. rates (currency_code,
-    usd_per_unit) is a short reference list and is broadcast. Other columns stay, whatever their names;
+    usd_per_unit) is a short reference list and is broadcast. Texts may have any length. Other columns stay, whatever their names;
     ones named like a result give way to it.
     """
     every = _words([w for ws in SCALES.values() for w in ws])
     numbers = _words([w for ws in WORDS.values() for w in ws.split()])
-    a = fold(squeeze(F.when(F.length(amount) <= 200, F.col(amount))))
-    x = packed(df, _a=a, _code=fold(squeeze(F.col(code))), _note=fold(squeeze(F.col(notes))), _evidence=F.col(evidence) if evidence else F.lit(None).cast("double"))
-    figure = "\\d{1,3}(?:[ ']\\d{3})+(?:[.,]\\d{1,2})?(?!\\d)|\\d[\\d.,]*\\d|\\d"
+    x = packed(df, _a=fold(squeeze(F.col(amount))), _code=fold(squeeze(F.col(code))), _note=fold(squeeze(F.col(notes))), _evidence=F.col(evidence) if evidence else F.lit(None).cast("double"))
+    figure = "\\d{1,3}(?:[ ']\\d{3})++(?:[.,]\\d{1,2})?(?!\\d)|\\d[\\d.,]*\\d|\\d"
     x = x.withColumn("_n", F.regexp_extract("_a", f"({figure})", 1))
     rest = F.regexp_replace("_a", f"^(.*?)(?:{figure})", "$1\u0001")
     x = x.withColumn("_rest", F.when(F.col("_n") != "", rest))
@@ -92,6 +102,7 @@ def readings(df: DataFrame, amount: str, code: str, notes: str, rates: DataFrame
     noted = F.lit(None).cast("double")
     for k, words in NOTED.items():
         noted = F.when(note.rlike(words), float(k)).otherwise(noted)
+    x = x.withColumn("_noted", noted)
     spelled = F.regexp_replace("_rest", f"\x01 ?({every})\\.?(?![a-z])", "\u0001 ")
     x = x.withColumn("_cur", F.coalesce(currency(spelled), currency(F.col("_code")), currency(note)))
     n = F.regexp_replace("_n", "[ ']", "")
@@ -100,25 +111,44 @@ def readings(df: DataFrame, amount: str, code: str, notes: str, rates: DataFrame
     tail = F.length(F.regexp_extract(n, "[.,](\\d*)$", 1))
     plain = F.regexp_replace(n, "[.,]", "")
     both = (dots > 0) & (commas > 0)
-    grouped = n.rlike("^\\d{1,3}(?:[.,]\\d{2,3})*[.,]\\d{3}$")
+    grouped = n.rlike("^\\d{1,3}(?:[.,]\\d{2,3})*+(?<=[.,]\\d{3})$")
     point = F.when(last == "", plain).otherwise(F.concat(F.regexp_replace(F.regexp_extract(n, "^(.*)[.,]\\d*$", 1), "[.,]", ""), F.lit("."), F.regexp_extract(n, "[.,](\\d*)$", 1)))
     once = (dots + commas) == 1
     as_point = F.when(F.col("_n") != "", F.when(both | once | (last == ""), F.when(point.rlike("^\\d+(\\.\\d*)?$"), point)).cast("double"))
     as_group = F.when((F.col("_n") != "") & ~both & grouped & (tail == 3), plain.cast("double"))
     words = F.try_element_at(F.create_map(*(F.lit(v) for k, ws in WORDS.items() for w in ws.split() for v in (w, float(k)))), F.col("_word"))
-    scale = F.coalesce(F.col("_beside"), noted, F.lit(1.0))
-    x = x.withColumn("_scale", scale)
-    # preferred reading first: a decimal point after a scale word, a thousands mark without one
-    first = F.when(F.col("_beside").isNotNull(), F.coalesce(as_point, as_group)).otherwise(F.coalesce(as_group, as_point))
-    x = x.withColumn("_cands", F.array_distinct(F.filter(F.array(words, first, as_point, as_group), lambda v: v.isNotNull())))
+    x = x.withColumn("_figures", F.array_distinct(F.filter(F.array(words, as_point, as_group), lambda v: v.isNotNull())))
+    x = x.withColumn("_scales", F.array_distinct(F.filter(F.array("_beside", "_noted", F.lit(1.0)), lambda v: v.isNotNull())))
+    # the plain sense of a mark: a decimal point after a scale word, a thousands mark without one
+    x = x.withColumn("_plain", F.coalesce(words, F.when(F.col("_beside").isNotNull(), F.coalesce(as_point, as_group)).otherwise(F.coalesce(as_group, as_point))))
     # a list of a few currencies: its size is fixed by definition
     rate = F.broadcast(rates.select(F.col("currency_code").alias("_cc"), F.col("usd_per_unit").alias("_rate")).dropDuplicates(["_cc"]))
     x = x.join(rate, F.col("_cur") == F.col("_cc"), "left")
-    cents = lambda v: v * F.col("_scale") * F.col("_rate") * 100
-    ok = F.filter("_cands", lambda v: (v * F.col("_scale") >= LEAST) & (F.abs(cents(v) - F.round(cents(v))) < 1e-3))
-    x = x.withColumn("_ok", F.when(stated & F.col("_rate").isNotNull(), ok))
-    x = x.withColumn("_best", F.explode_outer(F.slice("_ok", 1, 1)))  # a generator: filters on the outcome stay above it
-    best = F.col("_best")
-    usd = best * F.col("_scale") * F.col("_rate")
+    scale = F.coalesce("_beside", "_noted", F.lit(1.0))
+
+    def candidate(f: Column, s: Column) -> Column:
+        cents = f * s * F.col("_rate") * 100
+        broken = F.lit(0.0)
+        if "least" in identities:
+            broken = broken + F.when(f * s < LEAST, IMPOSSIBLE + F.log10(LEAST / F.greatest(f * s, F.lit(1e-9)))).otherwise(0.0)
+        if "cents" in identities:
+            broken = broken + F.when(F.abs(cents - F.round(cents)) < 1e-3, 0.0).otherwise(IMPOSSIBLE)
+        off = broken
+        if "beside" in identities:
+            off = off + F.coalesce(BESIDE * F.abs(F.log10(s / F.col("_beside"))), F.lit(0.0))
+        if "noted" in identities:
+            off = off + F.when(F.col("_beside").isNull() | F.lit("beside" not in identities), F.coalesce(NOTED_WEIGHT * F.abs(F.log10(s / F.col("_noted"))), F.lit(0.0))).otherwise(0.0)
+        if "mark" in identities:
+            off = off + MARK * F.abs(F.log10(F.greatest(f, F.lit(1e-9)) / F.greatest("_plain", F.lit(1e-9))))
+        return F.struct(off.alias("off"), (f * s).alias("sum"), (broken < IMPOSSIBLE).alias("possible"), (s == scale).alias("as_stated"))
+
+    every_pair = F.flatten(F.transform("_figures", lambda f: F.transform("_scales", lambda s: candidate(f, s))))
+    x = x.withColumn("_units", F.when(stated & F.col("_rate").isNotNull(), F.filter(every_pair, lambda c: c["possible"])))
+    if {"beside", "noted"} <= set(identities):  # a stated scale is never left out
+        x = x.withColumn("_units", F.filter("_units", lambda c: c["as_stated"]))
+    x = x.withColumn("_best", F.explode_outer(F.slice(F.array_sort("_units"), 1, 1)))  # a generator: filters on the outcome stay above it
+    best = F.col("_best.sum")
+    usd = best * F.col("_rate")
+    several = F.size(F.array_distinct(F.transform(F.filter("_units", lambda c: c["as_stated"]), lambda c: c["sum"])))
     res = F.when((F.col("_evidence") > 0) & (usd > 0), F.log10(usd / F.col("_evidence")))
-    return x.select(*unpacked(x, df, "sum", "sum_currency", "usd", "n_readings", "residual"), (best * F.col("_scale")).alias("sum"), F.when(best.isNotNull(), F.col("_cur")).alias("sum_currency"), usd.alias("usd"), F.when(best.isNotNull(), F.size("_ok")).alias("n_readings"), res.alias("residual"))
+    return x.select(*unpacked(x, df, "sum", "sum_currency", "usd", "n_readings", "residual"), best.alias("sum"), F.when(best.isNotNull(), F.col("_cur")).alias("sum_currency"), usd.alias("usd"), F.when(best.isNotNull(), several).alias("n_readings"), res.alias("residual"))

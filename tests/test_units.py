@@ -36,5 +36,20 @@ def test_evidence_is_only_reported(spark):
     assert a["sum"] == 1_234_000 and a.n_readings == 2 and a.residual == pytest.approx(6.0913, abs=1e-3)
 
 
+@pytest.mark.parametrize(("identity", "case", "all_of_them", "without"), [("beside", ("2 thousand USD", None, "in millions"), 2_000, 2_000_000), ("noted", ("1234 USD", None, "in thousands"), 1_234_000, 1_234), ("mark", ("250.000 USD", None, "in thousands"), 250_000_000, 250_000), ("least", ("500 USD", None, None), None, 500), ("cents", ("12345.678 USD", None, None), None, 12_345.678)])
+def test_each_identity_counts(spark, identity, case, all_of_them, without):
+    df = spark.createDataFrame([case], "amount string, code string, notes string")
+    rates = spark.createDataFrame(RATES, "currency_code string, usd_per_unit double")
+    read = lambda i: U.readings(df, "amount", "code", "notes", rates, identities=i).first()["sum"]
+    assert read(U.IDENTITIES) == all_of_them
+    assert read(tuple(x for x in U.IDENTITIES if x != identity)) == without
+
+
+def test_long_texts(spark):
+    long = ["the round of " + "very " * 400 + "5 million USD", "1 000" * 30_000, "1.000" * 30_000, "2 " * 50_000, "million " * 20_000, ("9" * 40 + " USD")]
+    got = run(spark, [(t, None, None, None, None) for t in long])
+    assert [r["sum"] for r in got][:5] == [5_000_000, None, None, None, None]
+
+
 def test_empty(spark):
     assert run(spark, []) == []
