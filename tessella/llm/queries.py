@@ -142,8 +142,8 @@ def p1_golden(spark: SparkSession, d: str) -> DataFrame:
     """One built record per company, each field from the most trusted, then most complete, then latest record that fills it."""
     fields = ["company_name", "legal_business_name", "website", "crunchbase_url", "description", "city", "founders", "founded_year", "Investors", "Tech_Mentioned", "business_model", "Category", "first_seen"]
     rows = golden.with_instant(_companies(spark, d, *fields, "data_confidence", "last_updated"), "last_updated", "at")
-    second = F.unix_timestamp(F.try_to_timestamp(F.substring("at", 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")))
-    order = F.struct(-F.coalesce(golden.trust(F.col("data_confidence")), F.lit(-1)), -golden.completeness(fields), -F.coalesce(second, F.lit(-(1 << 40))), F.col("id"))
+    second = F.unix_timestamp(F.try_to_timestamp(F.substring("at", 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss"))).cast("decimal(20,9)") + F.substring("at", 20, 10).cast("decimal(20,9)")
+    order = F.struct(-F.coalesce(golden.trust(F.col("data_confidence")), F.lit(-1)), -golden.completeness(fields), F.coalesce(-second, F.lit(1 << 40).cast("decimal(22,9)")), F.col("id"))
     return golden.merged(rows, "group_id", fields, order)
 
 
