@@ -4,45 +4,77 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache, reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: consecutive words that make a leak
 RUN = 12
 #: words of a document's passage at most; passages overlap by RUN - 1 words, so each run lies in one of them
 PASSAGE = 36
-#: postings a block
+#: items a block
 BLOCK = 16
 K1, B = 1.2, 0.75
-#: the index goes with every task; more items than this call for a larger executor and are refused
-MOST_ITEMS = 200_000
+#: items of one index, which goes with every task; more items are indexed in shards, each of which reads the documents
+SHARD = 50_000
+#: cells (passage and block, or passage and item) that are scored at once
+CELLS = 1 << 22
+EPS = 1e-9
+
+
+@cache
+def _marks() -> re.Pattern:
+    """All combining marks, as ranges."""
+    spans: list[list[int]] = []
+    for c in range(0x300, sys.maxunicode + 1):
+        if unicodedata.combining(chr(c)):
+            if spans and spans[-1][1] == c - 1:
+                spans[-1][1] = c
+            else:
+                spans.append([c, c])
+    return re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in spans) + "]+")
+
+
+WORD = re.compile(r"[^\W_]+")
 
 
 def words(text: str | None) -> list[str]:
     """Unbroken runs of letters or digits; letter case, accents and the dot of i are ignored."""
     if not text:
         return []
+    if text.isascii():
+        return WORD.findall(text.lower())
     s = unicodedata.normalize("NFKD", text.replace("ı", "i").replace("İ", "i"))
-    s = "".join(c for c in s if not unicodedata.combining(c)).casefold()
-    return re.findall(r"[^\W_]+", s)
+    return WORD.findall(_marks().sub("", s).casefold())
 
 
 @dataclass
 class Index:
-    """A BM25 inverted index of items with block maxima, the least score of any run of each item, and the runs themselves."""
+    """A BM25 inverted index of items: per term its items with scores, and its blocks of BLOCK items with their largest score.
+
+    least is the least score of any run of an item, floor the least of these in a block. Postings of all terms lie one after
+    the other, those of term t from start[t] to start[t + 1].
+    """
 
     ids: list[int] = field(default_factory=list)
-    postings: dict[str, list[tuple[int, float]]] = field(default_factory=dict)
-    blocks: dict[str, list[tuple[int, float]]] = field(default_factory=dict)
-    top: dict[str, float] = field(default_factory=dict)
-    least: list[float] = field(default_factory=list)
-    runs: dict[int, list[tuple[str, ...]]] = field(default_factory=dict)
-    threshold: float = 0.0
+    terms: dict[str, int] = field(default_factory=dict)
+    start: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    item: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    score: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    block_start: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    block: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    top: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    least: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    floor: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    runs: dict[int, list[tuple[int, ...]]] = field(default_factory=dict)
 
 
 def build(items: list[tuple[int, str]], run: int = RUN) -> Index:
@@ -57,121 +89,120 @@ def build(items: list[tuple[int, str]], run: int = RUN) -> Index:
         for t in set(w):
             df[t] += 1
     n = len(docs)
+    ix.terms = {t: k for k, t in enumerate(sorted(df))}
+    postings: list[list[tuple[int, float]]] = [[] for _ in ix.terms]
     for k, (i, w) in enumerate(docs):
         tf: dict[str, int] = defaultdict(int)
         for t in w:
             tf[t] += 1
         score = {t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * len(w) / mean)) for t, c in tf.items()}
         for t, s in score.items():
-            ix.postings.setdefault(t, []).append((k, s))
+            postings[ix.terms[t]].append((k, s))
         ix.ids.append(i)
-        ix.runs[k] = [tuple(w[j : j + run]) for j in range(len(w) - run + 1)]
-        ix.least.append(min(sum(score[t] for t in set(r)) for r in ix.runs[k]))
-    for t, p in ix.postings.items():
-        ix.blocks[t] = [(p[min(j + BLOCK, len(p)) - 1][0], max(s for _, s in p[j : j + BLOCK])) for j in range(0, len(p), BLOCK)]
-        ix.top[t] = max(s for _, s in p)
-    ix.threshold = min(ix.least)
+        ix.runs[k] = [tuple(ix.terms[t] for t in w[j : j + run]) for j in range(len(w) - run + 1)]
+        ix.least = np.append(ix.least, min(sum(score[t] for t in set(w[j : j + run])) for j in range(len(w) - run + 1)))
+    blocks = []
+    for p in postings:
+        best: dict[int, float] = {}
+        for k, s in p:
+            best[k // BLOCK] = max(s, best.get(k // BLOCK, 0.0))
+        blocks.append(sorted(best.items()))
+    ix.start, ix.item, ix.score = _flat(postings)
+    ix.block_start, ix.block, ix.top = _flat(blocks)
+    ix.floor = np.minimum.reduceat(ix.least, np.arange(0, n, BLOCK))
     return ix
 
 
-def search(ix: Index, query: set[str]) -> list[int]:
-    """Items whose BM25 score for the query reaches their own least run score, by block-max WAND.
+def _flat(lists: list[list[tuple[int, float]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.concatenate([[0], np.cumsum([len(x) for x in lists])]), np.array([k for x in lists for k, _ in x], np.int64), np.array([s for x in lists for _, s in x])
 
-    A passage that holds a run of an item holds all its words, so no leak scores less: nothing is lost by the threshold.
-    """
-    terms = [t for t in query if t in ix.top]
-    if sum(ix.top[t] for t in terms) < ix.threshold:
-        return []
-    at = dict.fromkeys(terms, 0)
-    block = dict.fromkeys(terms, 0)
-    eps, out = 1e-9, []
-
-    def upper(t: str, k: int) -> tuple[float, int]:
-        """The block maximum of t for item k, and the last item of that block."""
-        b = ix.blocks[t]
-        j = block[t]
-        while j < len(b) and b[j][0] < k:
-            j += 1
-        block[t] = j
-        return (b[j][1], b[j][0]) if j < len(b) else (0.0, len(ix.ids))
-
-    def forward(t: str, k: int) -> None:
-        p, j = ix.postings[t], at[t]
-        while j < len(p) and p[j][0] < k:
-            j += 1
-        at[t] = j
-
-    while True:
-        live = sorted(((ix.postings[t][at[t]][0], t) for t in terms if at[t] < len(ix.postings[t])))
-        total, pivot = 0.0, None
-        for k, t in live:
-            total += ix.top[t]
-            if total >= ix.threshold - eps:
-                pivot = k
-                break
-        if pivot is None:
-            return out
-        lead = [t for k, t in live if k <= pivot]
-        ups = [upper(t, pivot) for t in lead]
-        bound = sum(u for u, _ in ups)
-        if bound < ix.threshold - eps:  # nothing in these blocks: on to the first item beyond them
-            nxt = min([e + 1 for _, e in ups] + [k for k, _ in live if k > pivot])
-            for t in lead:
-                forward(t, max(nxt, pivot + 1))
-            continue
-        if bound < ix.least[pivot] - eps:  # not this item, but others of the blocks may still reach theirs
-            for t in lead:
-                forward(t, pivot + 1)
-            continue
-        if live[0][0] < pivot:
-            for k, t in live:
-                if k < pivot:
-                    forward(t, pivot)
+
+def _sums(query: np.ndarray, term: np.ndarray, n: int, start: np.ndarray, place: np.ndarray, value: np.ndarray, width: int, bar: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, place) of all sums of the terms' values per query and place that reach the bar of the place; queries 0 to n - 1 in order, in batches of CELLS."""
+    out_q, out_p = [], []
+    per = max(1, CELLS // max(width, 1))
+    edges = np.searchsorted(query, np.arange(0, n + per, per))
+    for b, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        if lo == hi:
             continue
-        score = sum(ix.postings[t][at[t]][1] for k, t in live if k == pivot)
-        if score >= ix.least[pivot] - eps:
-            out.append(pivot)
-        for k, t in live:
-            if k == pivot:
-                forward(t, pivot + 1)
-
-
-def leaks_of(ix: Index, text: str | None, run: int = RUN) -> list[tuple[int, int]]:
-    """(item id, number of its runs that the text holds) of each item that leaks."""
-    w = words(text)
-    if len(w) < run or not ix.ids:
+        q, t = query[lo:hi] - b * per, term[lo:hi]
+        size = start[t + 1] - start[t]
+        total = int(size.sum())
+        at = np.repeat(start[t] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(total)
+        rows = min(per, n - b * per)
+        sums = np.bincount(np.repeat(q, size) * width + place[at], value[at], rows * width).reshape(rows, width)
+        hit_q, hit_p = np.nonzero(sums >= bar - EPS)
+        out_q.append(hit_q + b * per)
+        out_p.append(hit_p)
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(out_q), np.concatenate(out_p)) if out_q else (none, none)
+
+
+def search(ix: Index, query: np.ndarray, term: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query, item) of all items whose BM25 score for a query reaches their own least run score, by block-max WAND over a batch of queries.
+
+    query, term: the words of queries 0 to n - 1, in order of the queries. First the block maxima of a query's words are summed per block of items;
+    blocks whose bound stays below the least threshold of their items are passed over. Queries with a block left are
+    scored in full. A passage that holds a run of an item holds all its words, so no leak scores less: nothing is lost.
+    """
+    q, _ = _sums(query, term, n, ix.block_start, ix.block, ix.top, len(ix.floor), ix.floor)  # repeated words only raise a bound
+    left = np.unique(q)
+    if not len(left):
+        return left, left
+    keep = np.isin(query, left)
+    pairs = np.unique(np.searchsorted(left, query[keep]) * len(ix.terms) + term[keep])
+    q, item = _sums(pairs // len(ix.terms), pairs % len(ix.terms), len(left), ix.start, ix.item, ix.score, len(ix.ids), ix.least)
+    return left[q], item
+
+
+def leaks_of(ix: Index, texts: list[str | None], run: int = RUN) -> list[tuple[int, int, int]]:
+    """(place of the text, item id, number of its runs that the text holds) of each item that leaks. Every passage of every text is a query."""
+    if not ix.ids:
         return []
-    found: dict[int, set] = defaultdict(set)
-    known = [t in ix.top for t in w] + [False]
+    ids = [np.array([ix.terms.get(t, -1) for t in words(x)], np.int64) for x in texts]
     step = PASSAGE - run + 1
-    start = 0
-    for end, k in enumerate(known):  # a run cannot go over a word that no item has: passages end there
-        if k:
-            continue
-        for j in range(start, end - run + 1, step):
-            passage = w[j : min(j + PASSAGE, end)]
-            for item in search(ix, set(passage)):
-                have = {tuple(passage[i : i + run]) for i in range(len(passage) - run + 1)}
-                found[item] |= have.intersection(ix.runs[item])
-        start = end + 1
-    return [(ix.ids[k], len(r)) for k, r in found.items() if r]
-
-
-def leaks(docs: DataFrame, items: DataFrame, run: int = RUN) -> DataFrame:
+    starts = [np.arange(0, len(w) - run + 1, step) for w in ids]
+    doc = np.repeat(np.arange(len(ids)), [len(s) for s in starts])
+    if not len(doc):
+        return []
+    offset = np.concatenate([[0], np.cumsum([len(w) for w in ids])])
+    every = np.concatenate(ids)
+    begin = np.concatenate(starts) + offset[doc]
+    size = np.minimum(begin + PASSAGE, offset[doc + 1]) - begin
+    query = np.repeat(np.arange(len(doc)), size)
+    term = every[np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))]
+    known = term >= 0
+    found: dict[tuple[int, int], set] = defaultdict(set)
+    for q, item in zip(*(x.tolist() for x in search(ix, query[known], term[known], len(doc))), strict=True):
+        passage = every[begin[q] : begin[q] + size[q]].tolist()
+        have = {tuple(passage[i : i + run]) for i in range(len(passage) - run + 1)}
+        found[int(doc[q]), item] |= have.intersection(ix.runs[item])
+    return [(d, ix.ids[k], len(r)) for (d, k), r in found.items() if r]
+
+
+def leaks(docs: DataFrame, items: DataFrame, run: int = RUN, shard: int = SHARD) -> DataFrame:
     """(doc_id, item_id, n_runs): each document of docs(doc_id, text) with each item of items(item_id, text) of which it holds `run` consecutive words.
 
-    n_runs counts the item's different runs that stand in the document. The items, a held-out list of fixed size (at
-    most MOST_ITEMS, checked), are indexed once and go with the tasks; the documents are read once and not shuffled.
-    Null, empty and short texts leak nothing; whole texts are searched, however long; repeated rows give repeated results.
+    n_runs counts the item's different runs that stand in the document. The items, a held-out list, are indexed in
+    shards of some `shard` items by a hash of their id; a shard's index goes with the tasks, and each shard reads the documents once,
+    without a shuffle. Null, empty and short texts leak nothing; whole texts are searched, however long; repeated rows
+    give repeated results.
     """
-    rows = items.select("item_id", "text").limit(MOST_ITEMS + 1).collect()
-    if len(rows) > MOST_ITEMS:
-        raise ValueError(f"more than {MOST_ITEMS} evaluation items")
-    ix = docs.sparkSession.sparkContext.broadcast(build([(r.item_id, r.text) for r in rows], run))
+    sc = docs.sparkSession.sparkContext
+    shards = max(1, math.ceil(items.count() / shard))
+
+    def found(part: int) -> DataFrame:
+        rows = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == part).select("item_id", "text").collect()
+        ix = sc.broadcast(build([(r.item_id, r.text) for r in rows], run))
+
+        def find(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for whole in parts:
+                for at in range(0, len(whole), 500):  # a bounded number of texts at a time
+                    p = whole.iloc[at : at + 500]
+                    out = leaks_of(ix.value, p["text"].tolist(), run)
+                    ids = p["doc_id"].to_numpy()
+                    yield pd.DataFrame({"doc_id": ids[[d for d, _, _ in out]], "item_id": [i for _, i, _ in out], "n_runs": [n for _, _, n in out]})
 
-    def find(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            out = [(d, i, n) for d, t in zip(p["doc_id"], p["text"], strict=True) for i, n in leaks_of(ix.value, t, run)]
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "n_runs"])
+        return docs.select("doc_id", "text").mapInPandas(find, "doc_id bigint, item_id bigint, n_runs int")
 
-    return docs.select("doc_id", "text").mapInPandas(find, "doc_id bigint, item_id bigint, n_runs int")
+    return reduce(DataFrame.unionByName, [found(k) for k in range(shards)])

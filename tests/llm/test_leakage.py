@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from tessella.llm import leakage as L
 
 
@@ -39,15 +41,34 @@ def test_against_brute_force(spark):
     assert got == brute(items, docs) and len(got) > 30
 
 
-def test_search_loses_no_item_that_reaches_its_threshold():
+def test_search_loses_no_item_that_reaches_its_threshold(monkeypatch):
     rng = random.Random(9)
     vocab = [f"w{i}" for i in range(30)]
     ix = L.build([(i, " ".join(rng.choice(vocab) for _ in range(rng.randrange(12, 40)))) for i in range(100)])
-    for _ in range(200):
-        q = {rng.choice(vocab) for _ in range(rng.randrange(1, 25))}
-        score = [sum(s for t in q for k, s in ix.postings.get(t, []) if k == j) for j in range(len(ix.ids))]
-        want = [j for j, s in enumerate(score) if s >= ix.least[j] - 1e-9]
-        assert L.search(ix, q) == want
+    queries = [[rng.choice(vocab) for _ in range(rng.randrange(1, 25))] for _ in range(200)]
+    place = np.repeat(np.arange(len(queries)), [len(q) for q in queries])
+    term = np.array([ix.terms[t] for q in queries for t in q])
+    want = set()
+    for k, q in enumerate(queries):
+        score = np.zeros(len(ix.ids))
+        for t in set(q):
+            at = slice(ix.start[ix.terms[t]], ix.start[ix.terms[t] + 1])
+            score[ix.item[at]] += ix.score[at]
+        want |= {(k, int(j)) for j in np.flatnonzero(score >= ix.least - 1e-9)}
+    for cells in (1, 1000, L.CELLS):  # in batches of any size
+        monkeypatch.setattr(L, "CELLS", cells)
+        got = L.search(ix, place, term, len(queries))
+        assert set(zip(got[0].tolist(), got[1].tolist(), strict=True)) == want and len(want) > 20
+
+
+def test_shards_find_the_same(spark):
+    rng = random.Random(5)
+    vocab = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(30))) for i in range(50)]
+    docs = [(d, " ".join(rng.choice(vocab) for _ in range(20)) + " " + " ".join(items[d % 50][1].split()[5:20])) for d in range(60)] + [(99, None)]
+    di, dd = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    got = [sorted(map(tuple, L.leaks(dd, di, shard=n).collect())) for n in (7, 1000)]
+    assert got[0] == got[1] and {(d, i) for d, i, _ in got[0]} == brute(items, docs)
 
 
 def test_empty(spark):
