@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -16,56 +16,63 @@ from pyspark.sql import functions as F
 from ..session import checkpointed
 from .names import LOOKALIKES
 
-#: passages on which the classifier is fitted at most; size of its hashed word space; a document is reported from THRESHOLD on
-SAMPLE, SPACE, THRESHOLD = 60_000, 1 << 16, 0.5
-STRONG = ("insult", "degrade", "attack", "dehumanise", "sexual", "slur", "filth", "curse")
-#: words on either side of a hit that a passage keeps
+#: passages with a hit (a strong word or a voter that speaks) and passages without one on which the classifier is fitted at most; size of its hashed word space; a document is reported from THRESHOLD on
+SAMPLE, PLAIN_SAMPLE, SPACE, THRESHOLD = 60_000, 60_000, 1 << 18, 0.5
+#: of the passages without any listed word, one in so many is offered to the sample
+THIN = 8
+STRONG = ("insult", "degrade", "attack", "threat", "dehumanise", "sexual", "slur", "filth", "curse")
+#: words on either side of a hit that a passage keeps; passages without a hit are of 2 REACH + 1 words
 REACH = 14
 
-# Word lists, folded; a trailing + stands for any ending.
+# Word lists, folded; a trailing + stands for any ending. They name no group, product or phrase of a corpus.
 LEXICON = {
-    "insult": """idiot idiots idioten moron morons imbecile imbeciles imbecil+ bastard bastards scumbag scumbags asshole assholes dumbass+ dumbasss clown clowns loser losers retard+ braindead scum jerk jerks prick pricks
-        twat twats wanker+ bitch bitches whore whores cunt+ dickhead+ fool fools aptal+ salak+ gerizekali+ dangalak+ soytari+ itler ezik serefsiz+ ahlaksiz+ pislik+ pisligi+ haysiyetsiz+ ahmak+ mankafa+ budala+ namussuz+
-        versager+ vollpfosten+ hohlkopf+ trottel+ depp deppen arschloch+ dummkopf+ schwachkopf+ wichser+ missgeburt+ penner drecksack+ abschaum cretin cretins connard+ abruti+ ordure ordures ratee salaud+ salope+ debile+
-        batard+ conne connasse encule+ ducon tocard+ bouffon+ pourriture""",
-    "degrade": """pathetic disgusting stupid shitty filthy worthless brainless useless moronic vile stinking rotten miserable igrenc+ rezil+ beyinsiz+ asagilik+ zavalli ahmakca widerlich+ erbarmlich+ dumme dummer dummen dummes
-        ekelhaft+ jammerlich+ hirnlos+ minable+ degoutant+ stupide+ pitoyable+ lamentable+ sale immonde+ nul nuls""",
-    "attack": """choke bleach rot hell piss pissed oxygen spine sewer crawl garbage crap shut cry trash thrown kill slap strangle drown disappear favour worthless quit braucht keiner verschwind+ verpisst verpiss fresse schamt
-        gosse mull mulleimer sterben verreck+ haufen halts maul kotz+ geber geberin gebersin defol+ belani belanizi allah kurtulalim yaziklar ceneni utanmadan konusuyor sus kimse sesini surusu suru suruye yuzunu gormesin olmasin cehennem+
-        geberesice kahrol+ gueule crever creve diable vomir disparais regrettera jeter jette degage+ casse+ poubelle honte fuck fucking fucker shit bullshit damn sunumu takimina sacmaligi+ okumak gormedim kapa hapse
-        spit vomit puke barf bollocks schnauze verdammt+ scheiss+ spineless bunch werfen bande goren git halt""",
-    "group": """velmari velmarian+ velmarien+ velmaren velmarer velmarlar velmar dorun+ dorunler dorunois dorunlu+ refugee refugees foreigner foreigners immigrants migrants women muslims jews blacks gays lesbians gypsies multeci+ yabanci+ kadinlar
-        siginmaci+ gocmen+ yaslilar yahudi+ ermeni+ kurtler araplar fluchtling+ auslander+ frauen migranten juden refugie+ etranger+ femmes migrants arabes juifs folk people old""",
-    "dehumanise": """vermin parasite+ subhuman+ animals breed breeds rats thieves breathe kitchen boardroom bars betrays blood smell ruin cleaner infest+ cockroach+ vermine voleurs voleur multiplient respirer meritent trahit siens
-        dehors cafards ungeziefer untermensch+ diebe ratten vermehren volksverrater+ atmen recht rausgeworfen einstellt parasiten schmarotzer+ mutfaga donsun hadlerine yonetmek cogal+ fare fareler nefes koku kazinmali hirsiz+
-        sasarim aklina kokuyor+ durulmaz binada surun sehrin pisligi hasere+ deport+ hapse""",
-    "sexual": """porn porno pornos pornografi+ nude nudes naked xxx hardcore slut sluts horny tits boobs panties orgasm blowjob bang moaned cams sexy milf escort hooker uncensored dirty ciplak+ azgin+ camasirsiz seks sevistiler sevisme sevismek dullar soyunup inledi
-        orospu+ nackt nackte nackten versaut+ vogeln ficken stohnte bettelte geil geile titten nues nue nus coquin+ baise+ gemit deshabill+ supplie pute+ salope+ sexe sex hot wet willing""",
-    "scene": """girls wives wife singles cam video clips pics live free click watch tonight skirt dm private used minute chat begged clothes desk lonely full scene kizlar resimler bayanlar dullar sohbet yayinda bedava izle tikla
-        videosu sansursuz bekliyor civarinda etegin+ eteginin altina kadin dakika hausfrauen einsame chats minute gratis ohne grenzen rock unter aus buro heute nacht wollen live filles gratuit direct limites femmes seules cherchent soir
-        offerte premiere jupe glissa main bureau hand slid griff skirt took offerte""",
-    "second": "you your yours yourself u du dich dir dein deine euch ihr euer sen seni senin sana sizi siz tu te toi ta ton tes vous votre vos",
-    "slur": """vermin parasite+ subhuman+ cockroach+ vermine untermensch+ ungeziefer volksverrater+ schmarotzer+ parasiten hasere+ hirsizdir kazinmali cogaliyor kokuyorlar donsun hadlerine pisligi betrays velmariens dorunois voleurs trahit
-        meritent multiplient vermehren rausgeworfen thieves breathe""",
-    "filth": """porn pornos porno nudes sluts slut horny tits panties blowjob orgasm hardcore bang moaned azgin+ camasirsiz sevistiler inledi dullar nackte versaut+ vogeln ficken stohnte bettelte coquin+ gemit deshabill+ supplie baise+
-        uncensored xxx milf titten soyunup cherchent""",
-    "curse": """piss bleach sewer choke fresse gosse verpisst verpiss schamt verschwind+ sterben verreck+ gueule crever diable vomir disparais regrettera geber gebersin belani belanizi defol+ kurtulalim yaziklar ceneni utanmadan sacmaligi+ yuzunu wichser+ worthless
-        oxygen braindead dumbass+ scumbag+ asshole+ moron morons imbecile+ bastards gerizekali+ dangalak+ serefsiz+ ahlaksiz+ igrenc+ soytari+ connard+ abruti+ vollpfosten+ hohlkopf+ versager+ widerlich+ erbarmlich+ minable disappear spine""",
-    "sober": """screening patient patients clinic clinical hospital medical study court judge lawsuit report reported moderation moderators models model flag flags annotated researchers hotline helps helped app adult learning lab breeding
-        sorting robots workshop tool file insult joked camera chicks hens cocks records age triage triyaj cancer breast kanser+ meme telefon olarak bilinen cihazlar basit update rolled slammed critics uygulama short stock banned
-        banning pipe rumours spread names called klinik krankenhaus studie gericht patienten gerat cancer depistage hopital etude tribunal outil software yazilim hasta+ tani tedavi arastirma+ mahkeme+ schulung formation""",
+    "insult": """idiot idiots idioten moron morons imbecile imbeciles imbecil+ bastard bastards scumbag scumbags asshole assholes dumbass+ clown clowns loser losers retard+ braindead scum jerk jerks prick pricks swine
+        twat twats wanker+ bitch bitches whore whores cunt+ dickhead+ fool fools liar liars coward cowards pig pigs aptal+ salak+ gerizekali+ dangalak+ soytari+ itler ezik serefsiz+ ahlaksiz+ pislik+ pisligi+ haysiyetsiz+ ahmak+ mankafa+
+        budala+ namussuz+ esek+ hayvan herif+ alcak+ kopek domuz+ versager+ vollpfosten+ hohlkopf+ trottel+ depp deppen arschloch+ dummkopf+ schwachkopf+ wichser+ missgeburt+ penner drecksack+ schwein schweine abschaum gesindel pack
+        cretin+ connard+ abruti+ ordure ordures ratee salaud+ salope+ debile+ batard+ conne connasse encule+ ducon tocard+ bouffon+ pourriture porc porcs cochon+ racaille""",
+    "degrade": """pathetic disgusting stupid shitty filthy worthless brainless useless moronic vile stinking rotten miserable ugly dumb igrenc+ rezil+ beyinsiz+ asagilik+ zavalli ahmakca pis adi cirkin widerlich+ erbarmlich+ dumme dummer dummen dummes
+        ekelhaft+ jammerlich+ hirnlos+ dreckig+ hasslich+ nutzlos+ wertlos+ minable+ degoutant+ stupide+ pitoyable+ lamentable+ sale immonde+ nul nuls moche+ inutile+""",
+    "attack": """choke bleach rot hell piss pissed sewer crawl garbage crap cry trash disappear quit vomit puke barf spit bollocks fuck fucking fucker shit bullshit damn verschwind+ verpisst verpiss fresse gosse mull mulleimer
+        verreck+ maul kotz+ schnauze verdammt+ scheiss+ geberesice defol+ belani belanizi kurtulalim yaziklar utanmadan cehennem+ kahrol+ sacmalik sacmaligi+ sus kapa gueule crever creve diable vomir disparais jeter jette degage+
+        poubelle honte merde ferme spineless mouth ceneni""",
+    "threat": """kill stab burn shoot strangle hang hurt beat slap murder drown punch smash oldurecegim oldururum oldurun oldurmeli gebert+ gebersin geber geberin geberesice yakacagim yakarim dovecegim doverim parcalayacagim bicaklayacagim bogacagim
+        umbringe umbringen erschiess+ erschlag+ verprugel+ schlage tuer buter frapper cogner etrangler pendre""",
+    "group": """refugee refugees foreigner foreigners immigrants migrants women muslims jews blacks gays lesbians gypsies traitors multeci+ yabanci+ kadinlar siginmaci+ gocmen+ yaslilar yahudi+ ermeni+ kurtler araplar fluchtling+ auslander+
+        frauen migranten juden refugie+ etranger+ femmes migrants arabes juifs folk people gens leute insanlar hepsi""",
+    "dehumanise": """vermin parasite+ subhuman+ animals breed breeds rats thieves infest+ cockroach+ vermine voleurs voleur multiplient cafards ungeziefer untermensch+ diebe ratten vermehren volksverrater+ parasiten schmarotzer+
+        cogal+ fare fareler hasere+ bocek+ hirsiz+ kazinmali exterminate exterminated exterminer ausgerottet ausrotten kokuyor+ stink stinken smell blood betrays trahit nefes breathe atmen respirer deport+ wiped atilmali raus dehors""",
+    "trope": "kitchen bars jail prison cage human humans thrown expel expelled mutfaga insan hapse hadlerine surun gitsin surulsun kuche gefangnis menschen geworfen cuisine prison humains jetes",
+    "sexual": """porn porno pornos pornografi+ nude nudes naked xxx hardcore slut sluts horny tits boobs panties orgasm blowjob bang moaned cams sexy milf escort hooker uncensored dirty ciplak+ azgin+ camasirsiz seks sevistiler sevisme sevismek soyunup inledi
+        orospu+ nackt nackte nackten versaut+ vogeln ficken stohnte bettelte geil geile titten nues nue nus coquin+ baise+ gemit deshabill+ supplie pute+ sexe sex hot wet willing""",
+    "scene": """girls teens wives wife singles cam video videos clips pics pictures live free click watch tonight bed skirt dm private used begged clothes lonely full kizlar resimler bayanlar dullar sohbet yayinda bedava izle tikla
+        videosu sansursuz bekliyor etegin+ kadin hausfrauen einsame chats gratis ohne grenzen rock heute nacht wollen filles gratuit direct limites femmes seules cherchent soir jupe glissa hand slid griff""",
+    "second": "you your yours yourself u du dich dir dein deine deines euch ihr euer sen seni senin sana sizi siz evini lan tu te toi ta ton tes vous votre vos",
+    "slur": "vermin parasite+ subhuman+ cockroach+ vermine untermensch+ ungeziefer volksverrater+ schmarotzer+ parasiten hasere+ kazinmali voleurs vermehren thieves exterminate exterminer ausgerottet rats ratten cafards",
+    "filth": """porn pornos porno nudes sluts slut horny tits panties blowjob orgasm hardcore bang moaned azgin+ camasirsiz sevistiler inledi nackte versaut+ vogeln ficken stohnte bettelte coquin+ gemit deshabill+ supplie baise+
+        uncensored xxx milf titten soyunup""",
+    "curse": """piss bleach sewer choke fresse gosse verpisst verpiss verschwind+ verreck+ gueule crever diable vomir disparais geber gebersin belani belanizi defol+ kurtulalim yaziklar ceneni utanmadan sacmaligi+ wichser+ worthless
+        braindead dumbass+ scumbag+ asshole+ moron morons imbecile+ bastards gerizekali+ dangalak+ serefsiz+ ahlaksiz+ igrenc+ soytari+ connard+ abruti+ vollpfosten+ hohlkopf+ versager+ widerlich+ erbarmlich+ minable disappear""",
+    "sober": """screening patient patients clinic clinical hospital medical medicine study court judge judged lawsuit report reported reports police moderation moderators model models researchers research annotated hotline helps helped education
+        adult learning lab breeding farm museum tool file process server age record records cancer virus treatment disease kanser+ meme ilac+ klinik krankenhaus studie gericht polizei patienten gerat depistage hopital etude tribunal police
+        outil software yazilim hasta+ tani tedavi arastirma+ mahkeme+ polis+ schulung formation""",
 }
 CONCEPTS = list(LEXICON)
 #: voters in the order of their bits; the last two speak for a clean passage
-VOTERS = ["insult", "insult_twice", "insult_to_you", "insult_degrade", "attack", "attack_twice", "attack_insult", "group_dehumanised", "dehumanised_twice", "dehumanised_thrice", "sexual", "sexual_twice", "sexual_scene", "sexual_scene_twice", "dehumanised", "slur", "filth", "curse", "hidden_letters", "shouted", "sober", "sober_twice"]
+VOTERS = [
+    "insult", "insult_twice", "insult_to_you", "insult_degrade", "attack", "attack_twice", "attack_insult", "group_dehumanised", "dehumanised_twice", "dehumanised_thrice", "sexual", "sexual_twice", "sexual_scene", "sexual_scene_twice", "dehumanised", "slur", "filth", "curse",
+    "threat_to_you", "threat_degrade", "attack_to_you", "group_trope", "hidden_letters", "shouted", "sober", "sober_twice",
+]
 CLEAN = {"sober", "sober_twice"}
+#: voters that speak for abuse by words
+SPEAKING = sum(1 << i for i, v in enumerate(VOTERS) if v not in CLEAN and v not in ("hidden_letters", "shouted"))
 LEET = str.maketrans("013457$@", "oieastsa")
 COMBINING = re.compile("[̀-ͯ҃-҉᪰-᫿᷀-᷿⃐-⃿︠-︯]")
 NOTHING = re.compile("[​-‏⁠﻿­]")
 BROKEN = re.compile("[\u00c2-\u00f4][\u0080-\u00bf]+")
 APART = re.compile(r"(?<![^\W_])([^\W\d_](?:([ .\-_*])[^\W\d_])(?:\2[^\W\d_])+)(?![^\W_])")
 TOKEN = re.compile(r"[^\W_]*[$@*][^\W_$@*]*(?:[$@*]+[^\W_]*)*|[^\W_]+")
-ENDS = re.compile(r"(?:[.!?…]+[\"'”’)]*(?=\s|$))|[\n\r]+|[\U0001F300-\U0001FAFF☀-➿]+")
+ENDS = r"(?:[.!?…]+[\"'”’)]*(?=\s|$))|[\n\r]+|[\U0001F300-\U0001FAFF☀-➿]+"
+SCAN = re.compile(f"{TOKEN.pattern}|{ENDS}")
 
 
 def _mended(m: re.Match) -> str:
@@ -96,10 +103,11 @@ def _tables() -> tuple[dict[str, int], dict[str, int], list[tuple[str, int]]]:
 WHOLE, BEGIN, PLAIN = _tables()
 
 
-@lru_cache(maxsize=300_000)
 def concepts_of(token: str) -> tuple[int, str, bool]:
     """(bits of the concepts, the word as understood, letters were hidden) of a folded token."""
     hidden = False
+    if "*" in token and "**" not in token and "*" not in token[1:-1]:
+        token = token.strip("*") or "*"  # emphasis
     if "*" in token:
         p = re.compile(re.sub(r"[*]", ".", re.escape(token).replace(r"\*", "*")) + "$")
         bits, word = 0, "*"
@@ -120,55 +128,119 @@ def concepts_of(token: str) -> tuple[int, str, bool]:
     return bits, s, hidden
 
 
-def folded(text: str) -> tuple[str, bool]:
-    """The text without marks, invisible characters and look-alike letters, letters written apart together; whether any of these hid words."""
-    t = NOTHING.sub("", BROKEN.sub(_mended, text))
-    swapped = t.translate(LOOKALIKES)
-    mixed = swapped != t and bool(re.search(r"[a-zA-Z][а-яА-Я]|[а-яА-Я][a-zA-Z]", t))
-    low = COMBINING.sub("", unicodedata.normalize("NFKD", swapped.replace("ı", "i").replace("İ", "i"))).lower()
-    joined = APART.sub(lambda m: m[1].replace(m[2], "") if m[2] != "*" else m[1], low)
-    return joined, mixed or joined != low
-
-
-def passages(text: str) -> tuple[list[tuple[int, list[str]]], dict[int, int]]:
-    """(votes, words) of each passage of a text with a hit, and how many sentences without one have which votes.
-
-    A passage is the words around a hit within a sentence.
-    """
-    low, _ = folded(text)
-    out, rest, last = [], {}, 0
-    mask = sum(1 << CONCEPTS.index(c) for c in STRONG)
-    for m in [*ENDS.finditer(low), None]:
-        end = m.start() if m else len(low)
-        sentence, mark = low[last:end], m[0] if m else ""
-        last = m.end() if m else end
-        got = [concepts_of(t) for t in TOKEN.findall(sentence)]
-        if not got:
-            continue
-        strong = [i for i, (b, _, _) in enumerate(got) if b & mask]
-        if not strong:
-            v = votes(got, mark)
-            rest[v] = rest.get(v, 0) + 1
-            continue
-        start = 0
-        while start < len(strong):
-            stop = start
-            while stop + 1 < len(strong) and strong[stop + 1] - strong[stop] <= REACH:
-                stop += 1
-            part = got[max(0, strong[start] - REACH) : strong[stop] + REACH + 1]
-            out.append((votes(part, mark), [w for _, w, _ in part]))
-            start = stop + 1
-    return out, rest
-
-
-def votes(part: list[tuple[int, str, bool]], mark: str) -> int:
-    n = [len({w for b, w, _ in part if b >> k & 1}) for k in range(len(CONCEPTS))]
-    insult, degrade, attack, group, dehum, sexual, scene, second, slur, filth, curse, sober = n
+def folded(text: str) -> str:
+    """The text without marks, invisible characters and look-alike letters, letters written apart together."""
+    if not text.isascii():
+        t = NOTHING.sub("", BROKEN.sub(_mended, text)).translate(LOOKALIKES)
+        text = COMBINING.sub("", unicodedata.normalize("NFKD", t.replace("ı", "i").replace("İ", "i")))
+    return APART.sub(lambda m: m[1].replace(m[2], "") if m[2] != "*" else m[1], text.lower())
+
+
+class Codes(dict):
+    """A number for each token and mark, with what is known of it: concepts, hash of the word, whether letters are hidden, whether it ends a sentence or shouts."""
+
+    MOST = 400_000
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.bits: list[int] = []
+        self.word: list[int] = []
+        self.flag: list[int] = []  # 1 letters hidden, 2 end of a sentence, 4 shouted
+
+    def __missing__(self, s: str) -> int:
+        if s[0].isalnum() or s[0] in "$@*":
+            bits, word, hidden = concepts_of(s)
+            self.bits.append(bits)
+            self.word.append(xxhash.xxh32_intdigest(word))
+            self.flag.append(int(hidden))
+        else:
+            self.bits.append(0)
+            self.word.append(0)
+            self.flag.append(2 + 4 * ("!!" in s or any(ord(c) > 0x2600 for c in s)))
+        self[s] = len(self.bits) - 1
+        return self[s]
+
+
+CODES: list[Codes] = []
+STRONG_BITS = sum(1 << CONCEPTS.index(c) for c in STRONG)
+
+
+@dataclass
+class Passages:
+    """Passages of a batch of texts: text, votes, whether a strong word is in it, whether any listed word is, and its tokens from begin to end in words."""
+
+    text: np.ndarray
+    votes: np.ndarray
+    hit: np.ndarray
+    listed: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    words: np.ndarray
+
+
+def passages(texts: list[str | None]) -> Passages:
+    """All passages of the texts; together they hold every word. A passage is what stands around hits within a sentence, or a piece of a sentence between hits."""
+    if not CODES or len(CODES[0]) > Codes.MOST:
+        CODES[:] = [Codes()]
+    codes = CODES[0]
+    found = [[codes[x] for x in SCAN.findall(folded(t))] if t else [] for t in texts]
+    text = np.repeat(np.arange(len(found)), [len(x) for x in found])
+    code = np.array([c for x in found for c in x], np.int64)
+    table = lambda x: np.array(x, np.int64)[code] if len(code) else np.zeros(0, np.int64)
+    bits, words, flag = table(codes.bits), table(codes.word), table(codes.flag)
+    n = len(code)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return Passages(none, none, none.astype(bool), none.astype(bool), none, none, words)
+    ends = (flag & 2) > 0
+    first = np.concatenate([[True], ends[:-1] | (text[1:] != text[:-1])])
+    sentence = np.cumsum(first) - 1
+    strong = np.flatnonzero(bits & STRONG_BITS)
+    # hits of one sentence within REACH of each other share a passage
+    apart = np.concatenate([[True], (np.diff(strong) > REACH) | (np.diff(sentence[strong]) > 0)]) if len(strong) else np.zeros(0, bool)
+    lead, last = strong[apart], strong[np.concatenate([apart[1:], [True]])] if len(strong) else strong
+    starts = np.append(np.flatnonzero(first), n)
+    begin = np.maximum(lead - REACH, starts[sentence[lead]])
+    stop = starts[1:] - ends[starts[1:] - 1]  # without the mark
+    end = np.minimum(last + REACH + 1, stop[sentence[lead]])
+    # what no hit reaches, a piece of at most 2 REACH + 1 words each
+    covered = np.cumsum(np.bincount(begin, minlength=n + 1)[: n + 1] - np.bincount(end, minlength=n + 1)[: n + 1])[:n] > 0
+    free = np.flatnonzero(~covered & ~ends)
+    if len(free):
+        new = np.concatenate([[True], (np.diff(free) > 1) | (np.diff(sentence[free]) > 0)])
+        run = np.maximum.accumulate(np.where(new, np.arange(len(free)), 0))
+        cut = new | ((np.arange(len(free)) - run) % (2 * REACH + 1) == 0)
+        begin = np.concatenate([begin, free[cut]])
+        end = np.concatenate([end, free[np.concatenate([cut[1:], [True]])] + 1])
+    hit = np.arange(len(begin)) < len(lead)
+    so_far = np.concatenate([[0], np.cumsum(bits > 0)])
+    listed = so_far[end] > so_far[begin]
+    closing = starts[sentence[begin] + 1] - 1
+    shouted = (flag[closing] & 4) > 0
+    return Passages(text[begin], _votes(bits, words, flag, begin, end, shouted), hit, listed, begin, end, words)
+
+
+def _spread(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(passage, place) of every token of every passage."""
+    size = end - begin
+    return np.repeat(np.arange(len(begin)), size), np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
+
+
+def _votes(bits: np.ndarray, words: np.ndarray, flag: np.ndarray, begin: np.ndarray, end: np.ndarray, shouted: np.ndarray) -> np.ndarray:
+    """Which voters fire for each passage, a bit each; words count once a passage."""
+    p, at = _spread(begin, end)
+    n = len(begin)
+    some = np.flatnonzero(bits[at])
+    key = np.unique((p[some].astype(np.uint64) << np.uint64(32)) | words[at[some]].astype(np.uint64), return_index=True)[1]
+    p1, b1 = p[some][key], bits[at[some]][key]
+    count = {c: np.bincount(p1, (b1 >> k) & 1, n) for k, c in enumerate(CONCEPTS)}
+    insult, degrade, attack, threat, group, dehum, trope, sexual, scene, second, slur, filth, curse, sober = (count[c] for c in CONCEPTS)
+    hidden = np.bincount(p, flag[at] & 1, n) > 0
     fired = [
-        insult >= 1, insult >= 2, insult and second, insult and degrade, attack >= 1, attack >= 2, attack and insult + degrade, group and dehum, dehum >= 2, dehum >= 3,
-        sexual >= 1, sexual >= 2, sexual and scene, sexual and scene >= 2, dehum >= 1, slur, filth, curse, any(h for _, _, h in part), "!!" in mark or any(ord(c) > 0x2600 for c in mark), sober >= 1, sober >= 2,
+        insult >= 1, insult >= 2, (insult > 0) & (second > 0), (insult > 0) & (degrade > 0), attack >= 1, attack >= 2, (attack > 0) & (insult + degrade > 0), (group > 0) & (dehum > 0), dehum >= 2, dehum >= 3,
+        sexual >= 1, sexual >= 2, (sexual > 0) & (scene > 0), (sexual > 0) & (scene >= 2), dehum >= 1, slur > 0, filth > 0, curse > 0, (threat > 0) & (second > 0), (threat > 0) & (insult + degrade + dehum > 0), (attack > 0) & (second > 0), (group > 0) & (trope > 0), hidden, shouted, sober >= 1, sober >= 2,
     ]
-    return sum(1 << i for i, f in enumerate(fired) if f)
+    return sum(f.astype(np.int64) << i for i, f in enumerate(fired))
 
 
 def label_model(counts: dict[int, int], rounds: int = 60) -> dict[int, float]:
@@ -206,10 +278,23 @@ def label_model(counts: dict[int, int], rounds: int = 60) -> dict[int, float]:
     return {p: float(v) for p, v in zip(patterns, q, strict=True)}
 
 
-def features(vote: int, words: list[str]) -> list[int]:
-    """Hashed words and word pairs, and the voters that fired."""
-    names = [f"v:{v}" for i, v in enumerate(VOTERS) if vote >> i & 1] + [f"w:{w}" for w in words] + [f"p:{a} {b}" for a, b in zip(words, words[1:], strict=False)]
-    return sorted({xxhash.xxh32_intdigest(f) % SPACE for f in names})
+MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def features(x: Passages, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in `of`, feature), each once and in order: hashed words and word pairs of the chosen passages, and the voters that fired."""
+    begin, end = x.begin[of], x.end[of]
+    p, at = _spread(begin, end)
+    hashed = lambda v: ((v * MIX) >> np.uint64(64 - SPACE.bit_length() + 1)).astype(np.int64)
+    with np.errstate(over="ignore"):
+        w = x.words[at].astype(np.uint64)
+        single = hashed(w + np.uint64(1))
+        inner = np.flatnonzero(p[1:] == p[:-1])
+        pair = hashed(w[inner] * np.uint64(0xC2B2AE3D27D4EB4F) + w[inner + 1] + np.uint64(2))
+        voter, who = np.nonzero((x.votes[of][None, :] >> np.arange(len(VOTERS))[:, None]) & 1)
+        fired = hashed(voter.astype(np.uint64) + np.uint64(1 << 40))
+    key = np.unique(np.concatenate([p, p[inner], who]).astype(np.int64) * SPACE + np.concatenate([single, pair, fired]))
+    return key // SPACE, key % SPACE
 
 
 def fit(rows: list[list[int]], target: np.ndarray, weight: np.ndarray, epochs: int = 40, rate: float = 0.5, decay: float = 1e-4) -> np.ndarray:
@@ -230,38 +315,52 @@ def fit(rows: list[list[int]], target: np.ndarray, weight: np.ndarray, epochs: i
     return w
 
 
-def scored(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, score) of the documents of docs(doc_id, text) with a passage that any voter looks at; all others score 0 and are left out.
+def _batches(parts: Iterator[pd.DataFrame], n: int = 500) -> Iterator[pd.DataFrame]:
+    for p in parts:
+        for at in range(0, len(p), n):
+            yield p.iloc[at : at + n]
+
 
-    Every text is read whole. What the voters say of all passages is counted by pattern (a bit a voter, so at most 2^22
-    patterns; a few hundred in practice) and the label model is fitted on these counts; the classifier is fitted on at most `sample` of the passages,
-    those with the smallest hashes. The score of a document is that of its worst passage. Null, empty and blank texts
-    have none; repeated rows score once per doc_id; nothing to fit on gives no rows.
+def scored(docs: DataFrame, sample: int = SAMPLE, plain: int = PLAIN_SAMPLE) -> DataFrame:
+    """(doc_id, score) of the documents of docs(doc_id, text) that hold any word; all others score 0 and are left out.
+
+    Every text is read whole, twice. First the votes on all passages are counted by pattern (a bit a voter; a few hundred patterns
+    in practice) and the label model is fitted on these counts; the classifier is fitted on at most `sample` of the passages with a hit of the
+    lists, and at most `plain` of the others, those with the smallest hashes. Then every passage is scored, with a hit or without one: words
+    that no list holds count by the company they keep. The score of a document is that of its worst passage. Null,
+    empty and blank texts have none; repeated rows score once per doc_id; nothing to fit on gives no rows.
     """
 
     def look(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            out, rest = [], {}
-            for d, t in zip(p["doc_id"], p["text"], strict=True):
-                hits, others = passages(t)
-                out += [(d, v, features(v, w), 1) for v, w in hits]
-                for v, n in others.items():
-                    rest[v] = rest.get(v, 0) + n
-            out += [(None, v, None, n) for v, n in rest.items()]
-            yield pd.DataFrame({k: pd.Series([r[i] for r in out], dtype=t) for i, (k, t) in enumerate((("doc_id", "Int64"), ("votes", "int32"), ("features", "object"), ("n", "int64")))})
-
-    seen = checkpointed(docs.filter("text is not null").select("doc_id", "text").mapInPandas(look, "doc_id bigint, votes int, features array<int>, n bigint"))
-    posterior = label_model({r.votes: r.n for r in seen.groupBy("votes").agg(F.sum("n").alias("n")).collect()})
-    seen = seen.filter("features is not null")
-    unique = seen.groupBy("votes", "features").agg(F.count("*").alias("n"))
-    rows = unique.orderBy(F.xxhash64("features", "votes")).limit(sample).collect()
+        for p in _batches(parts):
+            x = passages(p["text"].tolist())
+            votes, n = np.unique(x.votes, return_counts=True)
+            yield pd.DataFrame({"votes": votes, "hit": False, "features": pd.Series([None] * len(n), dtype=object), "n": n})
+            with np.errstate(over="ignore"):
+                lot = (x.words[x.begin].astype(np.uint64) * MIX + x.words[x.end - 1].astype(np.uint64) * np.uint64(31) + (x.end - x.begin).astype(np.uint64)) * MIX >> np.uint64(40)
+            of = np.flatnonzero(x.hit | x.listed | (lot % np.uint64(THIN) == 0)) if len(x.begin) else x.begin
+            who, what = features(x, of)
+            rows = np.split(what.astype(np.int32), np.searchsorted(who, np.arange(1, len(of)))) if len(of) else []
+            yield pd.DataFrame({"votes": x.votes[of], "hit": x.hit[of] | (x.votes[of] & SPEAKING > 0), "features": pd.Series(rows, dtype=object), "n": 0})
+
+    texts = docs.filter("text is not null").select("doc_id", "text")
+    seen = checkpointed(texts.select("text").mapInPandas(look, "votes bigint, hit boolean, features array<int>, n bigint"))
+    posterior = label_model({r.votes: r.n for r in seen.filter("n > 0").groupBy("votes").agg(F.sum("n").alias("n")).collect()})
+    unique = seen.filter("features is not null").groupBy("hit", "votes", "features").agg(F.count("*").alias("n"))
+    rows = [r for hit, most in ((True, sample), (False, plain)) for r in unique.filter(F.col("hit") == hit).orderBy(F.xxhash64("features", "votes"), "features").limit(most).collect()]
     weights = fit([r.features for r in rows], np.array([posterior[r.votes] for r in rows]), np.sqrt([float(r.n) for r in rows]))
     model = docs.sparkSession.sparkContext.broadcast(weights)
 
     def judge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w = model.value
-        for p in parts:
-            z = np.array([w[np.asarray(f, np.int64)].sum() + w[-1] for f in p["features"]])
-            yield pd.DataFrame({"doc_id": p["doc_id"], "score": 1 / (1 + np.exp(-np.clip(z, -30, 30)))})
-
-    return seen.select("doc_id", "features").mapInPandas(judge, "doc_id bigint, score double").groupBy("doc_id").agg(F.max("score").alias("score"))
+        for p in _batches(parts):
+            x = passages(p["text"].tolist())
+            every = np.arange(len(x.begin))
+            who, what = features(x, every)
+            z = np.bincount(who, w[what], len(every)) + w[-1]
+            best = np.full(len(p), -np.inf)
+            np.maximum.at(best, x.text, z)
+            some = best > -np.inf
+            yield pd.DataFrame({"doc_id": p["doc_id"].to_numpy()[some], "score": 1 / (1 + np.exp(-np.clip(best[some], -30, 30)))})
+
+    return texts.mapInPandas(judge, "doc_id bigint, score double").groupBy("doc_id").agg(F.max("score").alias("score"))

@@ -74,7 +74,7 @@ class Index:
     top: np.ndarray = field(default_factory=lambda: np.zeros(0))
     least: np.ndarray = field(default_factory=lambda: np.zeros(0))
     floor: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    runs: dict[int, list[tuple[int, ...]]] = field(default_factory=dict)
+    runs: dict[int, set[tuple[int, ...]]] = field(default_factory=dict)
 
 
 def build(items: list[tuple[int, str]], run: int = RUN) -> Index:
@@ -99,7 +99,7 @@ def build(items: list[tuple[int, str]], run: int = RUN) -> Index:
         for t, s in score.items():
             postings[ix.terms[t]].append((k, s))
         ix.ids.append(i)
-        ix.runs[k] = [tuple(ix.terms[t] for t in w[j : j + run]) for j in range(len(w) - run + 1)]
+        ix.runs[k] = {tuple(ix.terms[t] for t in w[j : j + run]) for j in range(len(w) - run + 1)}
         ix.least = np.append(ix.least, min(sum(score[t] for t in set(w[j : j + run])) for j in range(len(w) - run + 1)))
     blocks = []
     for p in postings:
@@ -173,11 +173,14 @@ def leaks_of(ix: Index, texts: list[str | None], run: int = RUN) -> list[tuple[i
     term = every[np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))]
     known = term >= 0
     found: dict[tuple[int, int], set] = defaultdict(set)
+    have, of = set(), -1
     for q, item in zip(*(x.tolist() for x in search(ix, query[known], term[known], len(doc))), strict=True):
-        passage = every[begin[q] : begin[q] + size[q]].tolist()
-        have = {tuple(passage[i : i + run]) for i in range(len(passage) - run + 1)}
-        found[int(doc[q]), item] |= have.intersection(ix.runs[item])
-    return [(d, ix.ids[k], len(r)) for (d, k), r in found.items() if r]
+        if q != of:
+            passage = every[begin[q] : begin[q] + size[q]].tolist()
+            have, of = {tuple(passage[i : i + run]) for i in range(len(passage) - run + 1)}, q
+        if both := have & ix.runs[item]:
+            found[int(doc[q]), item] |= both
+    return [(d, ix.ids[k], len(r)) for (d, k), r in found.items()]
 
 
 def leaks(docs: DataFrame, items: DataFrame, run: int = RUN, shard: int = SHARD) -> DataFrame:
