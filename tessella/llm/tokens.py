@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import checkpointed, looked_up
 
 FOLDER = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -122,7 +122,8 @@ def encoded(docs: DataFrame, path: str = f"{FOLDER}/{VOCABULARY}") -> DataFrame:
     repeated row. Chunks that several documents share are encoded once: places are gathered per thousand documents and
     chunk before the shuffle, so a chunk of every document costs a row a thousand. Lone surrogates are encoded as U+FFFD.
     """
-    key = F.when(F.length("text") > 0, F.xxhash64("doc_id", "text"))
+    # 128 bits: two documents never share a key
+    key = F.when(F.length("text") > 0, F.unhex(F.md5(F.concat_ws("\u0001", F.col("doc_id").cast("string"), "text"))))
     keyed = docs.select("doc_id", key.alias("k"), "text")
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -138,9 +139,9 @@ def encoded(docs: DataFrame, path: str = f"{FOLDER}/{VOCABULARY}") -> DataFrame:
         for p in _few(parts, 2000):
             yield pd.DataFrame({"h": p["h"], "ids": [np.array(e.encode_ordinary(c), dtype=np.int32) for c in p["chunk"]]})
 
-    cut_up = checkpointed(keyed.filter("k is not null").select("k", "text").mapInPandas(cut, "h binary, chunk string, ks array<bigint>, poss array<int>"))
+    cut_up = checkpointed(keyed.filter("k is not null").select("k", "text").mapInPandas(cut, "h binary, chunk string, ks array<binary>, poss array<int>"))
     once = cut_up.groupBy("h").agg(F.first("chunk").alias("chunk")).mapInPandas(encode, "h binary, ids array<int>")
     places = cut_up.select("h", F.arrays_zip(F.col("ks").alias("k"), F.col("poss").alias("pos")).alias("at"))
-    pieces = places.join(once, "h").select(F.explode("at").alias("at"), "ids").select("at.k", F.struct("at.pos", "ids").alias("piece"))
+    pieces = looked_up(places, "at", once, ["h"]).select(F.explode("at").alias("at"), "ids").select("at.k", F.struct("at.pos", "ids").alias("piece"))
     whole = pieces.groupBy("k").agg(F.flatten(F.transform(F.array_sort(F.array_distinct(F.collect_list("piece"))), lambda x: x["ids"])).alias("ids"))
-    return keyed.select("doc_id", "k").join(whole, "k", "left").select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    return keyed.select("doc_id", "k").join(whole.hint("merge"), "k", "left").select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
