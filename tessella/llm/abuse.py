@@ -267,8 +267,8 @@ def label_model(counts: dict[int, int], rounds: int = 60) -> dict[int, float]:
         prior = float(np.clip(w1.sum() / n.sum(), 1e-4, 0.5))
         if r % 5 == 4:
             rho = np.zeros((len(VOTERS), len(VOTERS)))
-            for w, m in ((w1, a), (w0, b)):
-                d = (x - m) * np.sqrt(w / max(w.sum(), 1))[:, None]
+            for w in (w1, w0):
+                d = (x - w @ x / max(w.sum(), 1e-9)) * np.sqrt(w / max(w.sum(), 1))[:, None]
                 v = np.sqrt(np.maximum((d**2).sum(0), 1e-9))
                 rho = np.maximum(rho, np.abs(d.T @ d) / np.outer(v, v))
             same = np.outer(sign, sign) > 0
@@ -335,18 +335,20 @@ def scored(docs: DataFrame, sample: int = SAMPLE, plain: int = PLAIN_SAMPLE) ->
         for p in _batches(parts):
             x = passages(p["text"].tolist())
             votes, n = np.unique(x.votes, return_counts=True)
-            yield pd.DataFrame({"votes": votes, "hit": False, "features": pd.Series([None] * len(n), dtype=object), "n": n})
+            yield pd.DataFrame({"votes": votes, "hit": False, "listed": False, "features": pd.Series([None] * len(n), dtype=object), "n": n})
             with np.errstate(over="ignore"):
-                lot = (x.words[x.begin].astype(np.uint64) * MIX + x.words[x.end - 1].astype(np.uint64) * np.uint64(31) + (x.end - x.begin).astype(np.uint64)) * MIX >> np.uint64(40)
+                mixed = x.words.astype(np.uint64) * MIX
+                so_far = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed ^ (mixed >> np.uint64(31)), dtype=np.uint64)])
+                lot = (so_far[x.end] - so_far[x.begin]) * MIX >> np.uint64(40)  # by all words of the passage
             of = np.flatnonzero(x.hit | x.listed | (lot % np.uint64(THIN) == 0)) if len(x.begin) else x.begin
             who, what = features(x, of)
             rows = np.split(what.astype(np.int32), np.searchsorted(who, np.arange(1, len(of)))) if len(of) else []
-            yield pd.DataFrame({"votes": x.votes[of], "hit": x.hit[of] | (x.votes[of] & SPEAKING > 0), "features": pd.Series(rows, dtype=object), "n": 0})
+            yield pd.DataFrame({"votes": x.votes[of], "hit": x.hit[of] | (x.votes[of] & SPEAKING > 0), "listed": x.listed[of], "features": pd.Series(rows, dtype=object), "n": 0})
 
     texts = docs.filter("text is not null").select("doc_id", "text")
-    seen = checkpointed(texts.select("text").mapInPandas(look, "votes bigint, hit boolean, features array<int>, n bigint"))
+    seen = checkpointed(texts.select("text").mapInPandas(look, "votes bigint, hit boolean, listed boolean, features array<int>, n bigint"))
     posterior = label_model({r.votes: r.n for r in seen.filter("n > 0").groupBy("votes").agg(F.sum("n").alias("n")).collect()})
-    unique = seen.filter("features is not null").groupBy("hit", "votes", "features").agg(F.count("*").alias("n"))
+    unique = seen.filter("features is not null").groupBy("hit", "votes", "features").agg(F.sum(F.when(F.col("listed"), 1).otherwise(THIN)).alias("n"))
     rows = [r for hit, most in ((True, sample), (False, plain)) for r in unique.filter(F.col("hit") == hit).orderBy(F.xxhash64("features", "votes"), "features").limit(most).collect()]
     weights = fit([r.features for r in rows], np.array([posterior[r.votes] for r in rows]), np.sqrt([float(r.n) for r in rows]))
     model = docs.sparkSession.sparkContext.broadcast(weights)

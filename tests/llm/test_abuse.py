@@ -65,7 +65,7 @@ def test_a_word_of_no_list_counts_by_its_company(spark):
     good = [f"the {a} team of our {p} opened {n} offices for {b} clients" for a in ("sales", "support", "design") for p in ("city", "town", "street", "country") for n in range(40) for b in ("new", "old")]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(bad + good)] + [(5000, "the zorblings ruin zorblings those zorblings"), (5001, "the design team opened")], "doc_id long, text string")
     got = {r.doc_id: r.score for r in A.scored(df).collect()}
-    assert got[5000] > 20 * got[5001]
+    assert got[5000] >= A.THRESHOLD > 0.1 > got[5001]
 
 
 def test_sentences_unlike_any_of_the_corpus(spark):
