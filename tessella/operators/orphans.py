@@ -7,9 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpointed, replicated, with_salt
+from ..session import checkpointed, looked_up
 
-SALTS = 8
 FOUND = "tab string, field string, row_id bigint, kind string, depth int, cause string, period string"
 
 
@@ -34,19 +33,19 @@ def direct(child: DataFrame, parent: DataFrame, fk: ForeignKey, child_key: str,
 
     Null references and those in `unresolved` are no references. A parent without a birth time counts as present; a
     child without a time can only be `missing`. Keys are looked up once each: the child's keys are first reduced on
-    the map side, so a hot key costs one row; only keys with a finding meet the rows again, in a salted join.
+    the map side, so a hot key costs one row; only keys with a finding meet the rows again, in a join that spreads hot keys.
     """
     rows = child.select(F.col(child_key).alias("row_id"), F.col(fk.field).cast("long").alias("fk"), (_instant(F.col(fk.child_time)) if fk.child_time else F.lit(None).cast("timestamp")).alias("at"))
     rows = rows.filter(F.col("fk").isNotNull() & ~F.col("fk").isin(*unresolved))
     keys = rows.groupBy("fk").agg(F.min("at").alias("first_at"))
     born = F.col(fk.born) if fk.born else F.lit(None).cast("string")
     parents = parent.filter(F.col(fk.parent_key).isNotNull()).groupBy(F.col(fk.parent_key).cast("long").alias("fk")).agg(F.min(F.coalesce(_instant(born), F.lit("0001-01-01").cast("timestamp"))).alias("born"), F.lit(True).alias("there"))
-    bad = keys.join(parents, "fk", "left").filter(F.col("there").isNull() | (F.col("born") > F.col("first_at"))).select("fk", "born", F.col("there").isNull().alias("missing"))
-    hit = with_salt(rows, ["row_id"], SALTS).join(replicated(bad, SALTS), ["fk", "_salt"])
+    bad = keys.join(parents.hint("merge"), "fk", "left").filter(F.col("there").isNull() | (F.col("born") > F.col("first_at"))).select("fk", "born", F.col("there").isNull().alias("missing"))
+    hit = looked_up(rows, "row_id", bad, ["fk"])
     return hit.filter(F.col("missing") | (F.col("born") > F.col("at"))).select("row_id", F.when(F.col("missing"), "missing").otherwise("later").alias("cause")).distinct()
 
 
-def cascade(tables: dict[str, DataFrame], keys: dict[str, str], fks: list[ForeignKey], periods: dict[str, Column] | None = None, unresolved: tuple = (-1,), most: int = 50) -> DataFrame:
+def cascade(tables: dict[str, DataFrame], keys: dict[str, str], fks: list[ForeignKey], periods: dict[str, Column] | None = None, unresolved: tuple = (-1,)) -> DataFrame:
     """Every orphaned reference: (tab, field, row_id, kind, depth, cause, period).
 
     kind `direct` (depth 0) points at an absent record; kind `inherited` points at a record that is itself orphaned,
@@ -67,18 +66,20 @@ def cascade(tables: dict[str, DataFrame], keys: dict[str, str], fks: list[Foreig
     if below:
         out = checkpointed(out)
         known = front = out.select("tab", "row_id").distinct()
-        for depth in range(1, most + 1):
+        depth = 0
+        while True:  # ends, as each level has only references that no level before had
+            depth += 1
             level = None
             for fk in below:
                 up = front.filter(F.col("tab") == fk.parent).select(F.col("row_id").alias("fk")).distinct()
                 rows = tables[fk.child].select(F.col(keys[fk.child]).alias("row_id"), F.col(fk.field).cast("long").alias("fk")).filter(F.col("fk").isNotNull() & ~F.col("fk").isin(*unresolved))
-                hit = with_salt(rows, ["row_id"], SALTS).join(replicated(up, SALTS), ["fk", "_salt"], "left_semi")
+                hit = looked_up(rows, "row_id", up, ["fk"], "left_semi")
                 level = add(level, hit.select(F.lit(fk.child).alias("tab"), F.lit(fk.field).alias("field"), "row_id", F.lit("inherited").alias("kind"), F.lit(depth).alias("depth"), F.lit(fk.parent).alias("cause")))
-            level = checkpointed(level.join(out.select("tab", "field", "row_id"), ["tab", "field", "row_id"], "left_anti"))
+            level = checkpointed(level.join(out.select("tab", "field", "row_id").hint("merge"), ["tab", "field", "row_id"], "left_anti"))
             if level.isEmpty():
                 break
             out = out.unionByName(level)
-            front = level.select("tab", "row_id").distinct().join(known, ["tab", "row_id"], "left_anti")
+            front = level.select("tab", "row_id").distinct().join(known.hint("merge"), ["tab", "row_id"], "left_anti")
             if not any(fk.parent in {c.child for c in below} for fk in below):
                 break  # the graph is no deeper
             front = checkpointed(front)
@@ -86,7 +87,7 @@ def cascade(tables: dict[str, DataFrame], keys: dict[str, str], fks: list[Foreig
     dated = None
     for name, period in (periods or {}).items():
         dated = add(dated, tables[name].select(F.lit(name).alias("tab"), F.col(keys[name]).alias("row_id"), period.alias("period")))
-    out = out.join(dated, ["tab", "row_id"], "left") if dated is not None else out.withColumn("period", F.lit(None).cast("string"))
+    out = out.join(dated.hint("merge"), ["tab", "row_id"], "left") if dated is not None else out.withColumn("period", F.lit(None).cast("string"))
     return out.select("tab", "field", "row_id", "kind", "depth", "cause", "period")
 
 

@@ -42,3 +42,10 @@ def test_against_brute_force_with_a_hot_key(spark, rows):
     got = {tuple(r) for r in O.cascade(tables(spark, parent, child, grand), KEYS, FKS).select("tab", "row_id", "kind").collect()}
     assert got == want
     assert sum(r.n_rows for r in O.report(O.cascade(tables(spark, parent, child, grand), KEYS, FKS)).collect()) == len(want)
+
+
+def test_deep_and_circular_graphs(spark):
+    """A chain of 60 levels and a ring of two: the cascade goes on to the end of each."""
+    t = {"node": spark.createDataFrame([(1, 999)] + [(i, i - 1) for i in range(2, 61)] + [(100, 101), (101, 100)], "id long, up long")}
+    got = {r.row_id: r.depth for r in O.cascade(t, {"node": "id"}, [O.ForeignKey("node", "up", "node", "id")]).collect()}
+    assert got == {i: i - 1 for i in range(1, 61)}
