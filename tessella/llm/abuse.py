@@ -67,6 +67,7 @@ CLEAN = {"sober", "sober_twice"}
 SPEAKING = sum(1 << i for i, v in enumerate(VOTERS) if v not in CLEAN and v not in ("hidden_letters", "shouted"))
 LEET = str.maketrans("013457$@", "oieastsa")
 COMBINING = re.compile("[̀-ͯ҃-҉᪰-᫿᷀-᷿⃐-⃿︠-︯]")
+FOREIGN = re.compile("[" + "".join(map(chr, LOOKALIKES)) + "]")
 NOTHING = re.compile("[​-‏⁠﻿­]")
 BROKEN = re.compile("[\u00c2-\u00f4][\u0080-\u00bf]+")
 APART = re.compile(r"(?<![^\W_])([^\W\d_](?:([ .\-_*])[^\W\d_])(?:\2[^\W\d_])+)(?![^\W_])")
@@ -131,7 +132,8 @@ def concepts_of(token: str) -> tuple[int, str, bool]:
 def folded(text: str) -> str:
     """The text without marks, invisible characters and look-alike letters, letters written apart together."""
     if not text.isascii():
-        t = NOTHING.sub("", BROKEN.sub(_mended, text)).translate(LOOKALIKES)
+        t = NOTHING.sub("", BROKEN.sub(_mended, text))
+        t = t.translate(LOOKALIKES) if FOREIGN.search(t) else t
         text = COMBINING.sub("", unicodedata.normalize("NFKD", t.replace("ı", "i").replace("İ", "i")))
     return APART.sub(lambda m: m[1].replace(m[2], "") if m[2] != "*" else m[1], text.lower())
 
@@ -281,20 +283,20 @@ def label_model(counts: dict[int, int], rounds: int = 60) -> dict[int, float]:
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _hashed(v: np.ndarray) -> np.ndarray:
+    return ((v * MIX) >> np.uint64(64 - SPACE.bit_length() + 1)).astype(np.int64)
+
+
 def features(x: Passages, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place in `of`, feature), each once and in order: hashed words and word pairs of the chosen passages, and the voters that fired."""
-    begin, end = x.begin[of], x.end[of]
-    p, at = _spread(begin, end)
-    hashed = lambda v: ((v * MIX) >> np.uint64(64 - SPACE.bit_length() + 1)).astype(np.int64)
+    """(place in `of`, feature): hashed words and word pairs of the chosen passages, as often as they occur, and the voters that fired."""
+    p, at = _spread(x.begin[of], x.end[of])
     with np.errstate(over="ignore"):
-        w = x.words[at].astype(np.uint64)
-        single = hashed(w + np.uint64(1))
+        w = x.words.astype(np.uint64)
+        single, pair = _hashed(w + np.uint64(1)), _hashed(w[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + w[1:] + np.uint64(2))
         inner = np.flatnonzero(p[1:] == p[:-1])
-        pair = hashed(w[inner] * np.uint64(0xC2B2AE3D27D4EB4F) + w[inner + 1] + np.uint64(2))
         voter, who = np.nonzero((x.votes[of][None, :] >> np.arange(len(VOTERS))[:, None]) & 1)
-        fired = hashed(voter.astype(np.uint64) + np.uint64(1 << 40))
-    key = np.unique(np.concatenate([p, p[inner], who]).astype(np.int64) * SPACE + np.concatenate([single, pair, fired]))
-    return key // SPACE, key % SPACE
+        fired = _hashed(voter.astype(np.uint64) + np.uint64(1 << 40))
+    return np.concatenate([p, p[inner], who]), np.concatenate([single[at], pair[at[inner]], fired])
 
 
 def fit(rows: list[list[int]], target: np.ndarray, weight: np.ndarray, epochs: int = 40, rate: float = 0.5, decay: float = 1e-4) -> np.ndarray:
@@ -342,6 +344,8 @@ def scored(docs: DataFrame, sample: int = SAMPLE, plain: int = PLAIN_SAMPLE) ->
                 lot = (so_far[x.end] - so_far[x.begin]) * MIX >> np.uint64(40)  # by all words of the passage
             of = np.flatnonzero(x.hit | x.listed | (lot % np.uint64(THIN) == 0)) if len(x.begin) else x.begin
             who, what = features(x, of)
+            order = np.lexsort((what, who))
+            who, what = who[order], what[order]
             rows = np.split(what.astype(np.int32), np.searchsorted(who, np.arange(1, len(of)))) if len(of) else []
             yield pd.DataFrame({"votes": x.votes[of], "hit": x.hit[of] | (x.votes[of] & SPEAKING > 0), "listed": x.listed[of], "features": pd.Series(rows, dtype=object), "n": 0})
 
