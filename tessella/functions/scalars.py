@@ -47,8 +47,33 @@ NEWS_TECH = ["yapay zeka", "yapayzeka", "makine öğrenimi", "derin öğrenme",
 NEWS_ACTION = ["yatırım", "yatirim", "funding", "raised", "round", "seed", "series", "milyon", "milyar", "investment", "partnership", "ortaklık", "satın alma", "acquisition", "hibe", "grant", "support", "program", "accelerator", "incubator", "hızlandırıcı", "kuluçka", "demo day", "launch", "launched", "açıklad", "announcement", "announced", "etkinlik"]
 NEWS_NEGATIVE = ["hr", "insan kaynakları", "iş ilanı", "kariyer", "personel"]
 # Words for and against the cloud.
-CLOUD = ["cloud", "aws", "azure", "gcp", "saas", "paas", "iaas", "serverless", "lambda", "ec2", "s3", "kubernetes", "k8s", "docker", "containerized", "microservices", "multi-tenant", "managed service", "web-based platform", "api-first", "restful api", "browser-based", "firebase", "heroku", "terraform", "ansible", "devops", "ci/cd", "bulut"]
-NO_CLOUD = ["on-premise", "on-prem", "self-hosted", "private cloud", "private deployment", "air-gapped", "local deployment", "local data", "local processing", "edge computing", "edge-only", "offline-first", "data sovereignty", "data residency", "runs locally", "embedded system", "firmware", "yerel sunucu", "yerinde kurulum", "özel bulut", "yerel veri", "gömülü sistem"]
+CLOUD = ["cloud", "aws", "azure", "gcp", "google cloud", "amazon web services", "saas", "paas", "iaas", "serverless", "lambda", "ec2", "s3", "kubernetes", "k8s", "docker", "containerized", "microservices", "cloud-native", "cloud-based", "multi-tenant", "elastic scaling", "hosted solution", "managed service", "web-based platform", "api-first", "restful api", "browser-based", "firebase", "heroku", "vercel", "netlify", "cloudflare", "openshift", "terraform", "ansible", "devops", "ci/cd", "bulut", "bulut bilişim", "bulut tabanlı", "bulut hizmeti", "bulut altyapısı", "servis olarak yazılım"]
+NO_CLOUD = ["on-premise", "on-premises", "on-prem", "self-hosted", "private cloud", "private deployment", "air-gapped", "local deployment", "local data", "local processing", "edge computing", "edge-only", "offline-first", "data sovereignty", "data residency", "no cloud dependency", "runs locally", "embedded system", "firmware", "yerel sunucu", "yerinde kurulum", "özel bulut", "yerel veri", "gömülü sistem"]
+# Signs by which a cloud label is corrected, and the labels.
+WEB_SIGNS = ["api", "web", "dashboard", "platform", "saas", "online"]
+HARDWARE_TAGS = ["robotics", "unmanned systems", "automotive", "adv. manufacturing"]
+CLOUD_PROOF = ["cloud", "aws", "azure", "gcp", "saas", "web platform", "bulut"]
+PRIVATE_SIGNS = ["on-premise", "on-prem", "self-hosted", "private cloud", "edge-only", "air-gapped", "no cloud", "yerinde kurulum", "özel bulut"]
+NATIVE_TAGS = ["ai infrastructure", "developer tools"]
+ADJACENT_TAGS = ["software development", "data & analytics", "fintech", "saas", "e-commerce", "marketing", "hr & recruitment", "edtech"]
+CLOUD_LABELS = ["Cloud-Native", "Cloud-Enabled", "Cloud-Adjacent", "Non-Cloud"]
+# Words that show work with artificial intelligence, and how central it is.
+AI_WORDS = [" ai ", "artificial intelligence", "machine learning", " ml ", "deep learning", "nlp", "computer vision", "neural network", "llm", "generative ai"]
+AI_CENTRAL = ["core", "driven"]
+# Names and words that are no organisation, and words that tell its kind; the first kind that fits counts.
+NO_ENTITY = ["unknown", "none", "n/a", "", "startup", "company", "the company"]
+ENTITY_JUNK = ["companies", "investments", "portfolio", "stores", "restaurants", "channels", "stations", "dealerships", "acquired", "months"]
+ENTITY_KINDS = {
+    "Bank": ["bank", "bankası", "banka"],
+    "University": ["university", "üniversite", "üniversitesi"],
+    "Ministry": ["ministry", "bakanlık", "bakanlığı"],
+    "Municipality": ["municipality", "belediye", "belediyesi"],
+    "Research Lab": ["research lab", "araştırma merkezi", "research center", "research institute"],
+    "Chamber": ["chamber", "odası", "oda"],
+    "Association": ["association", "birliği", "birlik"],
+    "Foundation": ["foundation", "vakfı", "vakıf"],
+    "NGO": ["ngo", "non-profit", "derneği", "dernek"],
+}
 # Event categories and their types.
 EVENT_TYPES = {"funding": "funding", "product": "product_launch", "partnership": "partnership", "corporate": "acquisition", "talent": "hiring", "ecosystem": "award", "expansion": "expansion", "technology": "product_launch"}
 SPAN = 500_000_000
@@ -173,9 +198,29 @@ def turkish_money(value: Column, code: Column) -> Column:
     return F.when(value > 0, F.concat(F.translate(F.format_number(value, 2), ",.", ".,"), F.lit(" "), code))
 
 
+# How an amount names its currency; the first that stands in it is taken out, dollars otherwise.
+AMOUNT_CODES = {"TRY": ["TRY", "TL"], "EUR": ["EUR", "€"], "GBP": ["GBP", "£"], "USD": ["USD", "$"]}
+
+
+def amount_code(c: Column) -> Column:
+    """The currency of an amount: lira, euro or pound where it says so, else dollars; null without an amount."""
+    u = F.upper(c)
+    out = F.when(~F.lower(F.trim(c)).isin("unknown", "none", ""), "USD")
+    for code in ("GBP", "EUR", "TRY"):
+        out = F.when(out.isNotNull() & has_any(u, AMOUNT_CODES[code]), code).otherwise(out)
+    return out
+
+
 def amount_of(c: Column, legacy: bool = False) -> Column:
-    """The number of an amount with a unit word; legacy keeps the old reading in which any M is a million and dots alone are decimal."""
+    """The number of an amount with a unit word, its currency taken out first; legacy keeps the old reading in which any M is a million and dots alone are decimal."""
     u = F.upper(c)
+    bare = u
+    for words in reversed(AMOUNT_CODES.values()):
+        out = u
+        for w in words:
+            out = F.replace(out, F.lit(w), F.lit(""))
+        bare = out if words is AMOUNT_CODES["USD"] else F.when(has_any(u, words), out).otherwise(bare)
+    u = bare
     m, k, b = u.contains("M"), u.contains("K") | u.contains("BIN") | u.contains("BİN"), u.contains("B")
     billions = u.contains("MILYAR") | u.contains("BILLION")
     times = F.when(m, 1e6).when(k, 1e3).when(b, 1e9).otherwise(1.0) if legacy else F.when(billions, 1e9).when(m, 1e6).when(k, 1e3).when(b, 1e9).otherwise(1.0)
@@ -257,12 +302,70 @@ def first_year(c: Column) -> Column:
     return F.nullif(F.regexp_extract(c, "((?:19|20)[0-9]{2})", 1), F.lit("")).cast("int")
 
 
+def hits(t: Column, words: list[str]) -> Column:
+    """The words that stand in the text, in the order of the list."""
+    return F.filter(F.array(*map(F.lit, words)), lambda w: F.contains(t, w))
+
+
+def cloud_text(*texts: Column) -> Column:
+    return F.lower(F.concat_ws(" ", *(F.coalesce(t, F.lit("")) for t in texts)))
+
+
 def cloud_signal(*texts: Column) -> Column:
-    t = F.lower(F.concat_ws(" ", *texts))
+    t = cloud_text(*texts)
     yes, no = has_any(t, CLOUD), has_any(t, NO_CLOUD)
     return F.when(no & ~yes, "negative").when(yes & ~no, "positive").otherwise("ambiguous")
 
 
+def cloud_hits(*texts: Column) -> Column:
+    """The words that decide the signal: those against where there are no others, those for where there are no others, else both."""
+    t = cloud_text(*texts)
+    return F.concat(hits(t, CLOUD), hits(t, NO_CLOUD))
+
+
+def cloud_label(description: Column, tech: Column, category: Column) -> Column:
+    """A label by signal and category; null where neither tells."""
+    signal, cat = cloud_signal(description, tech), F.lower(F.coalesce(category, F.lit("")))
+    return F.when(signal == "positive", F.when(has_any(cat, NATIVE_TAGS), "Cloud-Native").otherwise("Cloud-Enabled")).when(signal == "negative", "Non-Cloud").when(has_any(cat, ADJACENT_TAGS), "Cloud-Adjacent")
+
+
+def cloud_corrected(label: Column, description: Column, tech: Column, model: Column, category: Column) -> Column:
+    """The label after three rules, the first that applies: products on the web, hardware without proof, emphasis on private."""
+    t, cat = cloud_text(description, tech), F.lower(F.coalesce(category, F.lit("")))
+    product = (F.lower(F.coalesce(model, F.lit(""))) == "product") & label.isin("Non-Cloud", "Cloud-Adjacent") & has_any(t, WEB_SIGNS)
+    hardware = has_any(cat, HARDWARE_TAGS) & (label == "Cloud-Adjacent") & ~has_any(t, CLOUD_PROOF)
+    return F.when(product, "Cloud-Enabled").when(hardware, "Non-Cloud").when(has_any(t, PRIVATE_SIGNS), "Non-Cloud").otherwise(label)
+
+
+def cloud_repaired(label: Column) -> Column:
+    """The valid label that differs in letter case or blanks only, else Cloud-Adjacent; null stays."""
+    plain = F.replace(F.lower(label), F.lit(" "), F.lit("-"))
+    return F.when(label.isNotNull(), mapped(plain, {x.lower(): x for x in CLOUD_LABELS}, F.lit("Cloud-Adjacent")))
+
+
+def proximity(description: Column, use_case: Column, tech: Column, assumed: Column) -> Column:
+    """0, 30 (some technology), 80 (words of artificial intelligence) or 100 (central to the company)."""
+    low = lambda c: F.lower(F.coalesce(c, F.lit("")))
+    techs = F.concat_ws(" ", low(tech), low(assumed))
+    every = F.concat_ws(" ", low(description), low(use_case), techs)
+    ai = F.when(has_any(every, AI_CENTRAL) | F.contains(low(use_case), F.lit("platform")), 100).otherwise(80)
+    return F.when(has_any(every, AI_WORDS), ai).when((techs != "none") & (F.length(techs) > 5), 30).otherwise(0)
+
+
+def entity_junk(name: Column) -> Column:
+    """The text is no organisation's name."""
+    t = F.trim(name)
+    return F.coalesce(F.lower(t).isin(*NO_ENTITY) | (F.length(t) < 3) | (F.length(t) > 80) | t.rlike("^[0-9]") | has_any(F.lower(t), ENTITY_JUNK), F.lit(True))
+
+
+def entity_kind(name: Column) -> Column:
+    """The first kind whose words stand in the name; null if none do."""
+    out = F.lit(None).cast("string")
+    for kind, words in reversed(ENTITY_KINDS.items()):
+        out = F.when(has_any(F.lower(name), words), kind).otherwise(out)
+    return out
+
+
 def business_model(c: Column) -> Column:
     return F.when(F.lower(c).isin("saas", "platform", "software"), "Product").when(c.isin("Product", "Consultancy", "Hybrid", "Unknown"), c).otherwise("Unknown")
 

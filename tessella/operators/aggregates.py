@@ -35,7 +35,7 @@ def bucketed(df: DataFrame, value: Column, steps: list[tuple[float, str]], rest:
 def over_list(df: DataFrame, key: str, names: list[str], count: str = "cnt") -> DataFrame:
     """(key, count) for each listed value of a column, 0 where none has it."""
     every = df.sparkSession.createDataFrame([(n,) for n in names], f"{key} string")
-    have = df.groupBy(key).agg(F.count("*").alias("n"))
+    have = df.filter(F.col(key).isin(*names)).groupBy(key).agg(F.count("*").alias("n"))  # at most a row a listed value
     return every.join(F.broadcast(have), key, "left").select(key, F.coalesce("n", F.lit(0)).cast("bigint").alias(count))
 
 

@@ -32,9 +32,10 @@ def insert_replace(target: DataFrame, new: DataFrame, keys: list[str], order: Co
 
 
 def updated(target: DataFrame, changes: DataFrame, keys: list[str], keep_old: bool = False) -> DataFrame:
-    """target with the changes' other columns set where their keys meet; keep_old only fills nulls. One change a key is expected."""
+    """target with the changes' other columns set where their keys meet; keep_old only fills nulls. Of several changes of one key the largest counts."""
     cols = [c for c in changes.columns if c not in keys]
-    x = target.join(changes.withColumnsRenamed({c: f"_new_{c}" for c in cols}).withColumn("_hit", F.lit(True)), keys, "left")
+    one = changes.groupBy(*keys).agg(F.max(F.struct(*cols)).alias("_c")).select(*keys, *(F.col(f"_c.{c}").alias(f"_new_{c}") for c in cols), F.lit(True).alias("_hit"))
+    x = target.join(one, keys, "left")
     value = lambda c: F.coalesce(F.col(c), F.col(f"_new_{c}")) if keep_old else F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c))
     return x.select(*(value(c).alias(c) if c in cols else F.col(c) for c in target.columns))
 
@@ -64,9 +65,14 @@ def arbitrated(log: DataFrame, candidates: DataFrame, keys: list[str]) -> DataFr
     it says what the log says already (then the bar stays, too: a running maximum would be wrong). Any other is logged
     and sets the new bar. Without a log row the bar is 0 and nothing has been said.
 
-    The rule is sequential within a key. Rows are partitioned by key and sorted, and a single state walks over them,
-    so a hot key takes time but no memory.
+    The rule is sequential within a key. What no walk can accept is dropped before it, spread over all tasks: missing values, and
+    candidates below the log's bar, as the bar only rises. The rest is partitioned by key and sorted, and a single state
+    walks over it, so a hot key takes time but no memory.
     """
+    bar = log.groupBy(*keys).agg(F.max_by(F.coalesce("confidence", F.lit(0)), "seq").alias("_bar"))
+    said = F.trim(F.col("value").cast("string"))
+    candidates = candidates.filter(said.isNotNull() & ~said.isin("", "Unknown", "None", "nan"))
+    candidates = candidates.join(bar.hint("merge"), keys, "left").filter(F.col("_bar").isNull() | (F.coalesce("confidence", F.lit(0)) >= F.col("_bar"))).drop("_bar")
     rows = log.groupBy(*keys).agg(F.max_by(F.struct("value", "confidence"), "seq").alias("_l")).select(*keys, F.lit(-(1 << 62)).alias("seq"), "_l.value", "_l.confidence", F.lit(True).alias("_logged"))
     rows = rows.unionByName(candidates.select(*keys, F.col("seq").cast("long").alias("seq"), "value", "confidence").withColumn("_logged", F.lit(False)))
     rows = rows.repartition(*keys).sortWithinPartitions(*keys, "seq")

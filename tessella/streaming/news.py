@@ -39,13 +39,19 @@ def failures(checks: DataFrame) -> DataFrame:
 
 
 def upserting(articles: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Appends to the Parquet folder at `path` only articles that it does not hold; batches may be replayed, and a replayed batch adds nothing."""
+    """Appends to the Parquet folder at `path` only articles that it does not hold; batches may be replayed, and a replayed batch adds nothing.
+
+    An article without url_hash is known by the hash of its other columns. Of the articles with one, a batch reads only that column of the folder.
+    """
 
     def write(batch: DataFrame, epoch: int) -> None:
         from ..sources.sinks import exists
 
         spark = batch.sparkSession
         have = spark.read.parquet(path) if exists(spark, path) else batch.limit(0)
-        upsert.insert_ignore(have, batch, ["url_hash"], F.col("id"))[1].write.mode("append").parquet(path)
+        content = F.concat(F.lit("content "), F.md5(F.to_json(F.struct(*batch.columns))))
+        known = have.filter("url_hash is not null").select(F.col("url_hash").alias("_key")).unionByName(have.filter("url_hash is null").select(content.alias("_key")))
+        new = batch.withColumn("_key", F.coalesce("url_hash", content))
+        upsert.insert_ignore(known, new, ["_key"], F.col("id"))[1].drop("_key").write.mode("append").parquet(path)
 
     return articles.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

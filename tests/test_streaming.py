@@ -36,6 +36,13 @@ def test_upserts_replay(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 4, 5]
 
 
+def test_articles_without_a_hash_replay(spark, tmp_path):
+    s = feed(spark, tmp_path, [[(1, None, "x", "2024-01-01 00:00:00"), (2, None, "y", "2024-01-01 00:00:00"), (3, "a", "x", "2024-01-01 00:00:00")]])
+    for i in (1, 2):
+        news.upserting(s, str(tmp_path / "out"), str(tmp_path / f"cp{i}")).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3]
+
+
 def test_failures(spark, tmp_path):
     src = str(tmp_path / "checks")
     for i, signals in enumerate([2, 2, 2, 0]):
