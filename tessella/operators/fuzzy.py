@@ -103,10 +103,16 @@ def candidates(left: DataFrame, right: DataFrame, least: float, whole: bool = Tr
     brief = lambda c: F.length(c) - 1 <= F.floor(2 * F.length(c) * (1 - least / 100.0) + 1e-9) * Q
     if not whole:  # grams of the shorter text are not told apart, so it may have fewer than letters
         brief = lambda c: F.when(F.length(c) < Q, 0).otherwise(F.size(grams(F.col(c), False))) <= F.floor(2 * F.length(c) * (1 - least / 100.0) + 1e-9) * Q
-        by_letters = _candidates(left.filter(brief("l")), right, least, whole, 1).unionByName(_candidates(left, right.filter(brief("r")), least, whole, 1))
-    else:
-        by_letters = _candidates(left.filter(brief("l")), right.filter(brief("r")), least, whole, 1)
-    return by_grams.unionByName(by_letters).distinct()
+    short_l, short_r = left.filter(brief("l")), right.filter(brief("r"))
+    some_l, some_r = not short_l.isEmpty(), not short_r.isEmpty()
+    out = by_grams
+    if whole and some_l and some_r:
+        out = out.unionByName(_candidates(short_l, short_r, least, whole, 1))
+    if not whole and some_l:
+        out = out.unionByName(_candidates(short_l, right, least, whole, 1))
+    if not whole and some_r:
+        out = out.unionByName(_candidates(left, short_r, least, whole, 1))
+    return out.distinct()
 
 
 def _candidates(left: DataFrame, right: DataFrame, least: float, whole: bool, q: int) -> DataFrame:

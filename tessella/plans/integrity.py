@@ -9,12 +9,10 @@ from pyspark.sql import functions as F
 from ..functions import taxonomy, urls
 from ..operators import aggregates as A
 from ..operators import joins as J
-from ..session import replicated, table, with_salt
+from ..session import looked_up, table
 from .registry import Registry
 
 R = Registry()
-#: sub-keys over which the rows of a hot key are spread
-SALTS = 8
 # The kinds of investor that count as known.
 INVESTOR_TYPES = [
     "VC", "CVC", "Angel", "Corporate", "Accelerator", "PE", "Government", "Family Office", "Unknown", "Not Investor", "Corporate (Overlap)", "Corporate VC", "Private", "Individual", "Private Investor", "Asset Management Company", "Hedge Fund",
@@ -77,19 +75,12 @@ def j08(spark, d):
     return table(spark, d, "news_mentions").filter("startup_id is not null").groupBy("startup_id").agg(F.min("id").alias("news_id"))
 
 
-@R.add("j15_fan_out", "SELECT n.id, x.investor_id FROM news_mentions n JOIN (SELECT DISTINCT startup_id, investor_id FROM investments WHERE investor_id IS NOT NULL) x ON n.startup_id = x.startup_id WHERE n.event_type = 'funding' AND n.startup_id <> 1")
+@R.add("j15_fan_out", "SELECT n.id, x.investor_id FROM news_mentions n JOIN (SELECT DISTINCT startup_id, investor_id FROM investments WHERE investor_id IS NOT NULL) x ON n.startup_id = x.startup_id WHERE n.event_type = 'funding'")
 def j15(spark, d):
-    n = table(spark, d, "news_mentions").filter("event_type = 'funding' and startup_id <> 1").select("id", "startup_id")
-    x = table(spark, d, "investments").filter("investor_id is not null").select("startup_id", "investor_id").distinct()
-    return n.join(x, "startup_id").select("id", "investor_id")
-
-
-@R.add("j15_fan_out_whole", "SELECT n.id, x.investor_id FROM news_mentions n JOIN (SELECT DISTINCT startup_id, investor_id FROM investments WHERE investor_id IS NOT NULL) x ON n.startup_id = x.startup_id WHERE n.event_type = 'funding'")
-def j15_whole(spark, d):
-    """The fan-out of every startup, the hot one too: its news are spread over sub-keys, its investors repeated for each."""
+    """The fan-out of every startup, the hot one too: the news of hot ones are spread over sub-keys, their investors repeated for each."""
     n = table(spark, d, "news_mentions").filter("event_type = 'funding' and startup_id is not null").select("id", "startup_id")
     x = table(spark, d, "investments").filter("investor_id is not null").select("startup_id", "investor_id").distinct()
-    return with_salt(n, ["id"], SALTS).join(replicated(x, SALTS), ["startup_id", "_salt"]).select("id", "investor_id")
+    return looked_up(n, "id", x, ["startup_id"]).select("id", "investor_id")
 
 
 @R.add("j18_news_of_company", "SELECT DISTINCT s.id, n.id AS news_id FROM startups s JOIN (SELECT id, startup_id FROM news_mentions UNION ALL SELECT news_mention_id, startup_id FROM investments WHERE news_mention_id IS NOT NULL) n ON n.startup_id = s.id")

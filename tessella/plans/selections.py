@@ -12,13 +12,11 @@ from ..functions import taxonomy
 from ..functions.text import fold, squeeze
 from ..operators import aggregates as A
 from ..operators import fuzzy, keywords, units
-from ..session import replicated, table, with_salt
+from ..session import looked_up, table
 from .registry import Registry
 
 R = Registry()
 AS_OF = "2026-05-31"
-#: sub-keys over which the rows of a hot key are spread
-SALTS = 8
 
 
 def _filter(name: str, t: str, key: str, sql: str, cond) -> None:
@@ -28,7 +26,6 @@ def _filter(name: str, t: str, key: str, sql: str, cond) -> None:
 _filter("f01_explained", "startups", "id", "ai_explanation IS NOT NULL AND ai_explanation <> ''", lambda: A.filled(F.col("ai_explanation")))
 _filter("f02_not_stale", "startups", "id", "Status <> 'Stale'", lambda: F.col("Status") != "Stale")
 _filter("f03_not_in_list", "startups", "id", "business_model NOT IN ('SaaS', 'Hybrid')", lambda: ~F.col("business_model").isin("SaaS", "Hybrid"))
-_filter("f06_or_chain", "startups", "id", "description ILIKE '%crop%' OR description ILIKE '%TAX%' OR description ILIKE '%route%'", lambda: F.col("description").rlike("(?i)crop|tax|route"))
 _filter("f07_not_like", "startups", "id", "Category NOT ILIKE '%tech%'", lambda: ~F.col("Category").ilike("%tech%"))
 _filter("f08_year_prefix", "investments", "id", "regexp_matches(investment_date, '^[0-9]{4}')", lambda: F.col("investment_date").rlike("^[0-9]{4}"))
 _filter("f09_between", "startups", "id", "data_confidence BETWEEN 40 AND 69", lambda: F.col("data_confidence").between(40, 69))
@@ -36,7 +33,6 @@ _filter("f10_default_true", "news_mentions", "id", "coalesce(is_relevant, 1) = 1
 _filter("f10_null_or_active", "investors", "investor_id", "status IS NULL OR status = 'active'", lambda: F.col("status").isNull() | (F.col("status") == "active"))
 _filter("f13_later_than", "news_mentions", "id", "scanned_at >= '2025-01-01'", lambda: F.col("scanned_at") >= "2025-01-01")
 _filter("f14_last_week", "news_mentions", "id", f"CAST(substr(scanned_at, 1, 10) AS DATE) >= DATE '{AS_OF}' - INTERVAL 7 DAY", lambda: F.try_to_date(F.substring("scanned_at", 1, 10)) >= F.date_sub(F.lit(AS_OF).cast("date"), 7))
-_filter("f17_any_missing", "startups", "id", "website IS NULL OR city IS NULL OR founders IS NULL OR founded_year IS NULL", lambda: reduce(lambda a, b: a | b, (F.col(c).isNull() for c in ("website", "city", "founders", "founded_year"))))
 _filter("r01_gate", "startups", "id", "coalesce(tech_proximity, 0) = 0 AND coalesce(data_confidence, 20) >= 20", lambda: (F.coalesce("tech_proximity", F.lit(0)) == 0) & (F.coalesce("data_confidence", F.lit(20)) >= 20))
 _filter("r04_like_name", "investors", "investor_id", "investor_name ILIKE '%capital%'", lambda: F.col("investor_name").ilike("%capital%"))
 
@@ -56,19 +52,13 @@ def f11(spark, d):
     return v.withColumn("other", F.lead("id").over(w)).filter("other is not null").select("id", "other")
 
 
-@R.add("f12_same_city", "SELECT s.id, i.investor_id FROM startups s JOIN investors i ON lower(s.city) = lower(i.location) WHERE s.founded_year = 2015 AND s.city <> '' AND NOT contains(s.city, 'İ')")
+@R.add("f12_same_city", "SELECT s.id, i.investor_id FROM startups s JOIN investors i ON lower(translate(s.city, 'İ', 'i')) = lower(translate(i.location, 'İ', 'i')) WHERE s.city <> '' AND i.location <> ''")
 def f12(spark, d):
-    s = table(spark, d, "startups").filter((F.col("founded_year") == 2015) & (F.col("city") != "") & ~F.col("city").contains("İ")).select("id", F.lower("city").alias("k"))
-    return s.join(table(spark, d, "investors").select("investor_id", F.lower("location").alias("k")), "k").select("id", "investor_id")
-
-
-@R.add("f12_same_city_whole", "SELECT s.id, i.investor_id FROM startups s JOIN investors i ON lower(s.city) = lower(i.location) WHERE s.city <> ''")
-def f12_whole(spark, d):
-    """Startups of every year and city; the dotted I is i in lower case, and the rows of a frequent city are spread over sub-keys."""
+    """Startups and investors of one city in any letter case; the dotted I is i in lower case, and the rows of a hot city are spread over sub-keys."""
     lower = lambda c: F.lower(F.translate(c, "İ", "i")).alias("k")
     s = table(spark, d, "startups").filter(A.filled(F.col("city"))).select("id", lower("city"))
     i = table(spark, d, "investors").filter(A.filled(F.col("location"))).select("investor_id", lower("location"))
-    return with_salt(s, ["id"], SALTS).join(replicated(i, SALTS), ["k", "_salt"]).select("id", "investor_id")
+    return looked_up(s, "id", i, ["k"]).select("id", "investor_id")
 
 
 @R.add("f19_defaults", "SELECT id, coalesce(cloud_relevance, 'Unclassified') AS cloud, CASE WHEN city IS NULL OR city = '' THEN 'N/A' ELSE city END AS city FROM startups")
@@ -119,7 +109,10 @@ def u01(spark, d):
     return a.unionByName(b).dropDuplicates(["id"])
 
 
-@R.add("u03_shared_words")
+_WORDS = "list_filter(regexp_split_to_array(lower(coalesce({c}, '')), '\\s+'), lambda w: length(w) > 2)"
+
+
+@R.add("u03_shared_words", f"SELECT id, len(list_intersect(list_distinct(a), list_distinct(b))) / greatest(len(list_distinct(a)), 1) AS overlap FROM (SELECT id, {_WORDS.format(c='description')} AS a, {_WORDS.format(c='ai_explanation')} AS b FROM startups)")
 def u03(spark, d):
     """How many of a description's words its explanation repeats."""
     words = lambda c: F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), "\\s+"), lambda w: F.length(w) > 2)
@@ -141,9 +134,10 @@ def a37(spark, d):
 
 @R.add("j09_headline_names")
 def j09(spark, d):
-    """Company names at the head of headlines linked to the companies: exact, by tokens, by part."""
-    lead = F.regexp_extract("headline", "^((?:\\p{Lu}[\\p{L}]+ ){2}(?:\\p{Lu}[\\p{L}]+)?)", 1)
-    n = table(spark, d, "news_mentions").select(F.trim(lead).alias("name")).filter("name <> ''")
+    """Names in headlines, every run of two or three capitalised words wherever it stands, linked to the companies: exact, by tokens, by part."""
+    two, three = ("(\\p{Lu}[\\p{L}\\p{N}]+" + " \\p{Lu}[\\p{L}\\p{N}]+" * n + ")" for n in (1, 2))
+    runs = F.array_distinct(F.concat(*(F.regexp_extract_all("headline", F.lit(p), F.lit(1)) for p in (two, three))))
+    n = table(spark, d, "news_mentions").select(F.explode(runs).alias("name"))
     known = table(spark, d, "startups").select("id", F.col("company_name").alias("label"))
     return fuzzy.matched(n, known).withColumn("score", F.round("score", 3))
 
@@ -155,13 +149,6 @@ def j11(spark, d):
     return fuzzy.matched(table(spark, d, "documents").select(F.col("source").alias("name")), known, 88, None).withColumn("score", F.round("score", 3))
 
 
-@R.add("j14_competitors", "SELECT s.id, o.id AS other FROM startups s JOIN startups o ON s.Category = o.Category AND s.AI_Use_Case = o.AI_Use_Case AND s.city = o.city AND s.id <> o.id WHERE s.AI_Use_Case <> '' AND s.city <> ''")
-def j14(spark, d):
-    """Companies of the same category, use case and city, each with the others."""
-    s = table(spark, d, "startups").filter("AI_Use_Case <> '' and city <> '' and Category is not null").select("id", "Category", "AI_Use_Case", "city")
-    return s.join(s.withColumnRenamed("id", "other"), ["Category", "AI_Use_Case", "city"]).filter("id <> other").select("id", "other")
-
-
 @R.add("j16_keyword_hits", "SELECT n.id, k.kw FROM news_mentions n JOIN (VALUES ('funding'), ('yatırım'), ('grant'), ('hibe'), ('launch')) k(kw) ON contains(lower(n.headline), k.kw)")
 def j16(spark, d):
     """Which of a few words stand in a headline: a filter over a literal array, not a join."""
@@ -169,10 +156,12 @@ def j16(spark, d):
     return table(spark, d, "news_mentions").select("id", F.explode(F.filter(kws, lambda k: F.contains(F.lower("headline"), k))).alias("kw"))
 
 
-@R.add("j17_news_sites", "SELECT n.id FROM news_mentions n WHERE " + " OR ".join(f"contains(n.source_url, '{h}')" for h in ("teknorota.example", "ledgerloom.example", "hottakesboard.example")))
+@R.add("j17_news_sites", "SELECT DISTINCT n.id FROM news_mentions n JOIN ref_sources r ON contains(n.source_url, r.host)")
 def j17(spark, d):
-    hosts = "|".join(h.replace(".", "\\.") for h in ("teknorota.example", "ledgerloom.example", "hottakesboard.example"))
-    return table(spark, d, "news_mentions").filter(F.col("source_url").rlike(hosts)).select("id")
+    """Articles whose address holds the host of a listed source: a filter over one array of a list of fixed size."""
+    hosts = table(spark, d, "ref_sources").filter("host <> ''").agg(F.collect_set("host").alias("hosts"))  # one row
+    n = table(spark, d, "news_mentions").select("id", "source_url").crossJoin(F.broadcast(hosts))
+    return n.filter(F.exists("hosts", lambda h: F.contains(F.col("source_url"), h))).select("id")
 
 
 @R.add("s12_keyword_scores")
@@ -183,15 +172,6 @@ def s12(spark, d):
     return keywords.scored(s, _index(spark, d), "description", "tag").select("id", "tag", "score")
 
 
-@R.add("s16_warnings", """SELECT id, list_filter([CASE WHEN website <> 'Unknown' AND NOT contains(website, '.') THEN 'website' END, CASE WHEN founded_year < 1900 OR founded_year > 2026 THEN 'founded_year' END, CASE WHEN length(company_name) > 200 THEN 'company_name' END,
-CASE WHEN data_confidence < 0 OR data_confidence > 100 THEN 'data_confidence' END, CASE WHEN len(list_filter(string_split(founders, ','), lambda x: trim(x) <> '')) > 5 THEN 'founders' END], lambda x: x IS NOT NULL) AS warnings FROM startups""")
-def s16(spark, d):
-    """The fields of a record that look wrong."""
-    n = F.size(F.filter(F.split("founders", ","), lambda x: F.trim(x) != ""))
-    rules = [((F.col("website") != "Unknown") & ~F.col("website").contains("."), "website"), (~F.col("founded_year").between(1900, 2026), "founded_year"), (F.length("company_name") > 200, "company_name"), (~F.col("data_confidence").between(0, 100), "data_confidence"), (n > 5, "founders")]
-    return table(spark, d, "startups").select("id", F.filter(F.array(*(F.when(c, k) for c, k in rules)), lambda x: x.isNotNull()).alias("warnings"))
-
-
 @R.add("s25_city_alias")
 def s25(spark, d):
     """Cities by the first alias that stands in the text, the reference cities being the aliases."""
@@ -214,12 +194,6 @@ def s45(spark, d):
     return table(spark, d, "startups").select("id", F.when(c < 40, "A").when(c <= 70, "B").otherwise("C").alias("tier"))
 
 
-@R.add("s47_failure_counter", "SELECT id, CASE WHEN website IS NULL OR description IS NULL THEN coalesce(vitality_failures, 0) + 1 ELSE 0 END AS failures FROM startups")
-def s47(spark, d):
-    bad = F.col("website").isNull() | F.col("description").isNull()
-    return table(spark, d, "startups").select("id", F.when(bad, F.coalesce("vitality_failures", F.lit(0)) + 1).otherwise(0).alias("failures"))
-
-
 @R.add("s51_slug_scores")
 def s51(spark, d):
     """How well the slug of a profile address fits the company's name, 0-100."""
