@@ -168,7 +168,10 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(docs, table(spark, d, "eval_items")).select("doc_id", "item_id").distinct()
 
 
-@R.add("p9_items")
+P9_ITEMS = P9.replace("SELECT DISTINCT a.id AS doc_id, b.id AS item_id FROM g a JOIN g b ON a.h = b.h WHERE a.side = 0 AND b.side = 1", "SELECT item_id, count(*) AS n_docs, CAST(max(n) AS INTEGER) AS most_runs FROM (SELECT a.id AS doc_id, b.id AS item_id, count(DISTINCT a.h) AS n FROM g a JOIN g b ON a.h = b.h WHERE a.side = 0 AND b.side = 1 GROUP BY 1, 2) GROUP BY 1")
+
+
+@R.add("p9_items", P9_ITEMS)
 def p9_items(spark: SparkSession, d: str) -> DataFrame:
     """Per item: how many documents give it away, how many of them by a run at most, and the longest share."""
     docs = table(spark, d, "documents").select("doc_id", "text")
