@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import os
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache, lru_cache
 
@@ -36,15 +35,41 @@ def encoder(path: str):
     return tiktoken.Encoding(os.path.basename(path), pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
 
 
+@cache
+def _blanks() -> np.ndarray:
+    return np.array([chr(c).isspace() for c in range(0x3001)])
+
+
+POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE to the powers 0 to n - 1, and those of its inverse modulo 2 ** 64; kept for texts of up to a million characters."""
+    if len(POWERS[0]) < n:
+        size = max(n, 4096)
+        bases = (int(BASE), pow(int(BASE), -1, 1 << 64))
+        with np.errstate(over="ignore"):
+            made = [np.cumprod(np.concatenate([[1], np.full(size - 1, b, np.uint64)]).astype(np.uint64), dtype=np.uint64) for b in bases]
+        if size > 1_000_000:
+            return made[0], made[1]
+        POWERS[:] = made
+    return POWERS[0], POWERS[1]
+
+
+def codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
 def rolling(text: str) -> np.ndarray:
-    """The polynomial hash of the WINDOW characters that end at each place."""
-    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    h = np.zeros(len(c), dtype=np.uint64)
-    power = np.uint64(1)
+    """The polynomial hash of the WINDOW characters that end at each place, as a difference of running sums."""
+    c = codes(text).astype(np.uint64)
+    n = len(c)
+    up, down = _powers(n)
     with np.errstate(over="ignore"):
-        for k in range(min(WINDOW, len(c))):
-            h[k:] += c[: len(c) - k] * power
-            power *= BASE
+        sums = np.cumsum(c * down[:n], dtype=np.uint64)
+        h = sums.copy()
+        h[WINDOW:] -= sums[:-WINDOW]
+        h *= up[:n]
     return h ^ (h >> np.uint64(29))
 
 
@@ -54,7 +79,8 @@ def cuts(text: str) -> list[int]:
     if n < WINDOW:
         return []
     h = rolling(text)
-    blank = np.fromiter(map(str.isspace, text), dtype=bool, count=n)
+    c = codes(text)
+    blank = _blanks()[np.minimum(c, 0x3000)] & (c <= 0x3000)
     ends = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1
     chosen = ends[(h[ends - 1] & np.uint64((1 << BITS) - 1)) == 0].tolist()
     if n <= LONGEST:
@@ -119,8 +145,8 @@ def encoded(docs: DataFrame, path: str = f"{FOLDER}/{VOCABULARY}") -> DataFrame:
     """(doc_id, ids) for each row of docs(doc_id, text): the ids of the text without special tokens.
 
     Null and empty texts have an empty list; their strings of special tokens are ordinary text; a repeated row gives a
-    repeated row. Chunks that several documents share are encoded once: places are gathered per thousand documents and
-    chunk before the shuffle, so a chunk of every document costs a row a thousand. Lone surrogates are encoded as U+FFFD.
+    repeated row. Chunks that several documents share are encoded once: of a thousand documents each chunk's text is
+    shuffled once, and a chunk of very many documents is spread over sub-keys where it meets its places. Lone surrogates are encoded as U+FFFD.
     """
     # 128 bits: two documents never share a key
     key = F.when(F.length("text") > 0, F.unhex(F.md5(F.concat_ws("\u0001", F.col("doc_id").cast("string"), "text"))))
@@ -128,20 +154,26 @@ def encoded(docs: DataFrame, path: str = f"{FOLDER}/{VOCABULARY}") -> DataFrame:
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in _few(parts, 1000):
-            places: dict[str, list] = defaultdict(list)
+            known: dict[str, bytes] = {}
+            hs, texts, ks, places = [], [], [], []
             for k, text in zip(p["k"], p["text"], strict=True):
                 for pos, c in enumerate(chunks(text, path)):
-                    places[c].append((k, pos))
-            yield pd.DataFrame({"h": [xxhash.xxh3_128_digest(c.encode("utf-8", "surrogatepass")) for c in places], "chunk": list(places), "ks": [[k for k, _ in v] for v in places.values()], "poss": [[i for _, i in v] for v in places.values()]})
+                    h = known.get(c)
+                    texts.append(None if h else c)
+                    if not h:
+                        h = known[c] = xxhash.xxh3_128_digest(c.encode("utf-8", "surrogatepass"))
+                    hs.append(h)
+                    ks.append(k)
+                    places.append(pos)
+            yield pd.DataFrame({"h": hs, "chunk": texts, "k": ks, "pos": np.array(places, np.int32)})
 
     def encode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         e = encoder(path)
         for p in _few(parts, 2000):
             yield pd.DataFrame({"h": p["h"], "ids": [np.array(e.encode_ordinary(c), dtype=np.int32) for c in p["chunk"]]})
 
-    cut_up = checkpointed(keyed.filter("k is not null").select("k", "text").mapInPandas(cut, "h binary, chunk string, ks array<binary>, poss array<int>"))
-    once = cut_up.groupBy("h").agg(F.first("chunk").alias("chunk")).mapInPandas(encode, "h binary, ids array<int>")
-    places = cut_up.select("h", F.arrays_zip(F.col("ks").alias("k"), F.col("poss").alias("pos")).alias("at"))
-    pieces = looked_up(places, "at", once, ["h"]).select(F.explode("at").alias("at"), "ids").select("at.k", F.struct("at.pos", "ids").alias("piece"))
+    cut_up = checkpointed(keyed.filter("k is not null").select("k", "text").mapInPandas(cut, "h binary, chunk string, k binary, pos int"))
+    once = cut_up.filter("chunk is not null").groupBy("h").agg(F.first("chunk").alias("chunk")).mapInPandas(encode, "h binary, ids array<int>")
+    pieces = looked_up(cut_up.select("h", "k", "pos"), "k", once, ["h"]).select("k", F.struct("pos", "ids").alias("piece"))
     whole = pieces.groupBy("k").agg(F.flatten(F.transform(F.array_sort(F.array_distinct(F.collect_list("piece"))), lambda x: x["ids"])).alias("ids"))
     return keyed.select("doc_id", "k").join(whole.hint("merge"), "k", "left").select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))

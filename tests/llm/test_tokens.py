@@ -50,3 +50,14 @@ def test_repeated_rows_and_empty(spark, rows):
     df = spark.createDataFrame([(1, "same text here"), (1, "same text here"), (1, "other"), (None, "x")], "doc_id long, text string")
     assert T.encoded(df).count() == 4 and len({tuple(r.ids) for r in T.encoded(df).collect()}) == 3
     assert T.encoded(df.limit(0)).count() == 0
+
+
+def test_rolling_hash_is_that_of_its_window():
+    rng = random.Random(8)
+    for n in (1, 15, 16, 17, 300):
+        text = "".join(rng.choice("ab çß漢🙂\t") for _ in range(n))
+        want = []
+        for i in range(n):
+            h = sum(ord(text[i - k]) * pow(int(T.BASE), k, 1 << 64) for k in range(min(T.WINDOW, i + 1))) % (1 << 64)
+            want.append(h ^ (h >> 29))
+        assert T.rolling(text).tolist() == want
