@@ -49,7 +49,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         size = max(n, 4096)
         bases = (int(BASE), pow(int(BASE), -1, 1 << 64))
         with np.errstate(over="ignore"):
-            made = [np.cumprod(np.concatenate([[1], np.full(size - 1, b, np.uint64)]).astype(np.uint64), dtype=np.uint64) for b in bases]
+            made = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)]), dtype=np.uint64) for b in bases]
         if size > 1_000_000:
             return made[0], made[1]
         POWERS[:] = made
