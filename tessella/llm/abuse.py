@@ -60,7 +60,7 @@ CONCEPTS = list(LEXICON)
 #: voters in the order of their bits; the last two speak for a clean passage
 VOTERS = [
     "insult", "insult_twice", "insult_to_you", "insult_degrade", "attack", "attack_twice", "attack_insult", "group_dehumanised", "dehumanised_twice", "dehumanised_thrice", "sexual", "sexual_twice", "sexual_scene", "sexual_scene_twice", "dehumanised", "slur", "filth", "curse",
-    "threat_to_you", "threat_degrade", "attack_to_you", "group_trope", "hidden_letters", "shouted", "sober", "sober_twice",
+    "threat_to_you", "threat_degrade", "attack_to_you", "group_trope", "scene_to_you", "hidden_letters", "shouted", "sober", "sober_twice",
 ]
 CLEAN = {"sober", "sober_twice"}
 #: voters that speak for abuse by words
@@ -240,7 +240,7 @@ def _votes(bits: np.ndarray, words: np.ndarray, flag: np.ndarray, begin: np.ndar
     hidden = np.bincount(p, flag[at] & 1, n) > 0
     fired = [
         insult >= 1, insult >= 2, (insult > 0) & (second > 0), (insult > 0) & (degrade > 0), attack >= 1, attack >= 2, (attack > 0) & (insult + degrade > 0), (group > 0) & (dehum > 0), dehum >= 2, dehum >= 3,
-        sexual >= 1, sexual >= 2, (sexual > 0) & (scene > 0), (sexual > 0) & (scene >= 2), dehum >= 1, slur > 0, filth > 0, curse > 0, (threat > 0) & (second > 0), (threat > 0) & (insult + degrade + dehum > 0), (attack > 0) & (second > 0), (group > 0) & (trope > 0), hidden, shouted, sober >= 1, sober >= 2,
+        sexual >= 1, sexual >= 2, (sexual > 0) & (scene > 0), (sexual > 0) & (scene >= 2), dehum >= 1, slur > 0, filth > 0, curse > 0, (threat > 0) & (second > 0), (threat > 0) & (insult + degrade + dehum > 0), (attack > 0) & (second > 0), (group > 0) & (trope > 0), (scene >= 2) & (second > 0), hidden, shouted, sober >= 1, sober >= 2,
     ]
     return sum(f.astype(np.int64) << i for i, f in enumerate(fired))
 
