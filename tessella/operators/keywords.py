@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Words that are never learned.
-STOP = """the a an and or is are was were in on at to for of with by from as it its that this be has have had not but if we our they their can will do does also such using based which into more than been being both each most some
-about company startup turkish turkey istanbul ankara provides offers solution solutions service services technology technologies innovative leverages cutting-edge leading various industries businesses users enable enables artificial intelligence
-machine learning powered driven utilizes help helps develop develops development specializes focus focused designed create creating""".split()
+STOP = [
+    "the", "a", "an", "and", "or", "is", "are", "was", "were", "in", "on", "at", "to", "for", "of", "with", "by", "from", "as", "it", "its", "that", "this", "be", "has", "have", "had", "not", "but", "if", "we", "our", "they", "their", "can", "will", "do", "does", "also", "such", "using", "based", "which", "into", "more", "than", "been", "being", "both", "each", "most", "some", "about", "company", "startup", "turkish", "turkey", "istanbul", "ankara", "provides", "offers", "solution", "solutions", "service", "services", "technology", "technologies", "innovative", "leverages", "cutting-edge", "leading", "various", "industries", "businesses", "users", "enable", "enables", "artificial", "intelligence", "machine", "learning", "powered", "driven", "utilizes", "help", "helps", "develop", "develops", "development", "specializes", "focus", "focused", "designed", "create", "creating",
+]
 TOP, HEAD = 60, 10
 
 

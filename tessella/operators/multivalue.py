@@ -6,6 +6,7 @@ import html
 import json
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,6 +19,11 @@ DELIMITERS = {
     "newline": "\\r\\n|\\r|\\n", "tab": "\\t", "double bar": "\\|\\|", "bar": "\\|", "semicolon": "[;；]", "middle dot": "[·•‧・]", "wide comma": "[，、]", "spaced slash": " / ", "spaced plus": " \\+ ",
     "comma": ",", "slash": "/", "plus": "\\+", "hyphen": "-", "spaced hyphen": " [-–—] ", "ampersand": " & ", "conjunction": " (?:ve|and|und|et) ", "dot": "\\.", "blank": " ",
 }
+# What must stand in a value for a candidate to be in it; plain texts, which are found much faster than patterns.
+SIGNS = {
+    "newline": ["\n", "\r"], "tab": ["\t"], "double bar": ["||"], "bar": ["|"], "semicolon": [";", "；"], "middle dot": ["·", "•", "‧", "・"], "wide comma": ["，", "、"], "spaced slash": [" / "], "spaced plus": [" + "],
+    "comma": [","], "slash": ["/"], "plus": ["+"], "hyphen": ["-"], "spaced hyphen": [" - ", " – ", " — "], "ampersand": [" & "], "conjunction": [" ve ", " and ", " und ", " et "], "dot": ["."], "blank": [" "],
+}
 # Legal endings that follow a comma inside one name.
 LEGAL = "l\\.?p|l\\.?l\\.?c|l\\.?l\\.?p|inc|ltd|limited|gmbh|co|corp|plc|s\\.?a|s\\.?r\\.?l|b\\.?v|ag|a\\.?[sş]|a\\.?o|anonim şirketi|ltd\\. ?şti|llp|kg|jr|sr|ph\\.?d|mba"
 TITLES = re.compile(r"^(?:(?:prof|doç|doc|dr|sn|mr|mrs|ms|bay|bayan|av|ing|dipl|yrd|hon)\.? ?)+$", re.I)
@@ -52,7 +58,8 @@ def score(values: DataFrame) -> DataFrame:
     fused = F.regexp_replace("v", f"(?i), ?(?=(?:{LEGAL})\\.?(?:$|[,;|&]| (?:ve|and|und|et) ))", " ")
     split = lambda c, p: F.filter(F.transform(F.split(c, p), clean), lambda x: x != "")
     within = lambda p: F.flatten(F.filter(F.transform(F.split("v", LISTED), lambda c: F.when(c.rlike(p), split(c, p)).otherwise(none)), lambda x: F.size(x) > 1))
-    cut = lambda n, p: F.when(F.col("v").rlike(p), within(p) if n in INSIDE else split(fused if n == "comma" else F.col("v"), p)).otherwise(none)
+    there = lambda n: reduce(lambda a, b: a | b, (F.contains(F.col("v"), F.lit(t)) for t in SIGNS[n]))
+    cut = lambda n, p: F.when(there(n), within(p) if n in INSIDE else split(fused if n == "comma" else F.col("v"), p)).otherwise(none)
     cands = F.array(*(F.struct(F.lit(n).alias("delimiter"), cut(n, p).alias("pieces")) for n, p in DELIMITERS.items()))
     # the words table has one row per field
     x = v.join(F.broadcast(words), "field").select("field", "least", F.explode(cands).alias("c")).filter(F.size("c.pieces") > 1).select("field", "least", "c.*")

@@ -415,6 +415,65 @@ def report_lookup(subjects, companies):
     return by_name.unionByName(by_host).groupBy("key").agg(F.min("id").alias("id"))
 
 
+def named(texts, key: str, text: str):
+    """(key, pos, name): every run of two or three capitalised words of a text, in the order in which they begin, each once."""
+    runs = lambda n: F.regexp_extract_all(text, F.lit("(\\p{Lu}[\\p{L}\\p{N}]+" + " \\p{Lu}[\\p{L}\\p{N}]+" * n + ")"), F.lit(1))
+    names = F.array_distinct(F.concat(runs(2), runs(1)))
+    x = texts.select(F.col(key).alias("key"), F.col(text).alias("_text"), F.explode(names).alias("name"))
+    return x.select("key", F.instr("_text", F.col("name")).alias("pos"), "name")
+
+
+def rematched(texts, key: str, text: str, companies):
+    """(key, startup_id): the company of companies(id, label) that a text names first; names are linked exactly, by tokens and by part."""
+    n = checkpointed(named(texts, key, text))
+    links = fuzzy.matched(n.select("name"), companies).select("name", F.col("id").alias("startup_id"))
+    return looked_up(n, "key", links, ["name"]).select("key", "pos", "name", "startup_id")
+
+
+def _texts_of(news):
+    return news.withColumn("text", F.concat_ws(". ", "headline", "summary"))
+
+
+def _known(spark, d):
+    return table(spark, d, "startups").filter(F.coalesce("Status", F.lit("")) != "Blacklisted").select("id", F.col("company_name").alias("label"))
+
+
+def first_named(found):
+    return found.groupBy("key").agg(F.min_by("startup_id", F.struct("pos", "name")).alias("startup_id"))
+
+
+@R.add("dq_orphan_mentions")
+def dq_mentions(spark, d):
+    """News without a company, linked with the first that its headline or summary names."""
+    n = _texts_of(table(spark, d, "news_mentions").filter("startup_id is null and summary <> ''"))
+    return first_named(rematched(n, "id", "text", _known(spark, d))).withColumnRenamed("key", "id")
+
+
+@R.add("dq_article_links")
+def dq_articles(spark, d):
+    """Further companies that an article names: pairs of article and company, without its own and those that its address has already."""
+    n = table(spark, d, "news_mentions").filter("summary <> ''")
+    found = rematched(_texts_of(n), "id", "text", _known(spark, d)).select(F.col("key").alias("id"), "startup_id").distinct()
+    several = found.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id")
+    own = table(spark, d, "news_mentions").filter("startup_id is not null").select("source_url", "startup_id").distinct()
+    x = found.join(several.hint("merge"), "id", "left_semi").join(n.select("id", "source_url").hint("merge"), "id")
+    return x.join(own.hint("merge"), ["source_url", "startup_id"], "left_anti").select("id", "startup_id")
+
+
+@R.add("dq_orphan_investments")
+def dq_investments(spark, d):
+    """Deals of companies that do not exist: the first company that the deal's news names, else -1."""
+    s = table(spark, d, "startups").select(F.col("id").alias("startup_id"))
+    v = table(spark, d, "investments").filter("startup_id is not null").select("id", "startup_id", "news_mention_id").join(s.hint("merge"), "startup_id", "left_anti")
+    return orphan_deals(v, table(spark, d, "news_mentions"), _known(spark, d))
+
+
+def orphan_deals(deals, news, companies):
+    n = _texts_of(news).join(deals.select(F.col("news_mention_id").alias("id")).distinct().hint("merge"), "id", "left_semi")
+    new = first_named(rematched(n, "id", "text", companies)).select(F.col("key").alias("news_mention_id"), F.col("startup_id").alias("_new"))
+    return deals.join(new.hint("merge"), "news_mention_id", "left").select("id", F.coalesce("_new", F.lit(-1)).cast("bigint").alias("startup_id"))
+
+
 @R.add("sk09_cascade", """WITH gone AS (SELECT id FROM startups WHERE Status = 'Stale')
 SELECT 'news_mentions' AS tab, id FROM news_mentions WHERE startup_id IS NULL OR startup_id NOT IN (SELECT id FROM gone) UNION ALL SELECT 'investments', id FROM investments WHERE startup_id IS NULL OR startup_id NOT IN (SELECT id FROM gone)
 UNION ALL SELECT 'documents', doc_id FROM documents WHERE startup_id IS NULL OR startup_id NOT IN (SELECT id FROM gone)""")

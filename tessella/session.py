@@ -73,7 +73,10 @@ def looked_up(rows: DataFrame, by: str | list[str], small: DataFrame, on: list[s
     rows should be cheap to read again (a checkpoint or a table).
     """
     share = 0.01
-    hot = rows.sample(share, 7).groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > HOT * share).select(*on)
+    seen = rows.select(*on).sample(share, 7)
+    if seen.limit(int(HOT * share) + 1).count() <= HOT * share:  # too few rows for any key to be hot
+        return rows.join(small.hint("merge"), on, how)
+    hot = seen.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > HOT * share).select(*on)
     hot = hot.filter(" and ".join(f"`{c}` is not null" for c in on))
     n = hot.limit(BROADCAST_ROWS + 1).count()
     if n == 0 or n > BROADCAST_ROWS:

@@ -52,6 +52,15 @@ def test_tags_corrected(spark, rows):
     assert rows(E.tag_checked(docs, index)) == [(1, "farm", "replaced"), (2, "pay", "kept"), (3, "pay", "extractor"), (4, "pay", "kept")]
 
 
+def test_repairs_by_the_names_in_news(spark, rows):
+    known = spark.createDataFrame([(1, "Nova Merkur"), (2, "Befaya Turkenho"), (3, None)], "id long, label string")
+    news = spark.createDataFrame([(10, "Yesterday Befaya Turkenho met Nova Merkur", "x"), (11, "nothing here", None), (12, None, "Nova Merkur grew"), (13, None, None)], "id long, headline string, summary string")
+    deals = spark.createDataFrame([(100, 77, 10), (101, 77, 11), (102, 78, None), (103, 78, 12)], "id long, startup_id long, news_mention_id long")
+    assert rows(E.orphan_deals(deals, news, known), "id", "startup_id") == [(100, 2), (101, -1), (102, -1), (103, 1)]
+    found = E.rematched(E._texts_of(news), "id", "text", known)
+    assert {(r.key, r.startup_id) for r in found.collect()} == {(10, 1), (10, 2), (12, 1)}
+
+
 def test_scan_state_moves_on(spark, rows):
     state = spark.createDataFrame([("a", "2024-03-01"), ("b", None), ("c", "2024-03-01")], "source_name string, backfill_pointer string")
     page = spark.createDataFrame([("a", "2024-02-20"), ("a", "2024-02-10"), ("a", "2024-03-05"), ("c", "2024-03-01"), (None, "2020-01-01"), ("b", None)], "source_name string, day string")
