@@ -63,15 +63,18 @@ def replicated(df: DataFrame, salts: int) -> DataFrame:
 HOT, SALTS = 100_000, 16
 
 
-def looked_up(rows: DataFrame, by: str | list[str], small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+def looked_up(rows: DataFrame, by: str | list[str], small: DataFrame, on: list[str], how: str = "inner", most: int | None = None) -> DataFrame:
     """A shuffled join of rows with small that spreads the hot keys of rows by a hash of the columns `by`.
 
     A key is hot if it has about HOT rows or more, as seen in a hundredth of rows (the sample only tells which keys to
     spread; every row is joined). Only hot keys are repeated on the side of small. The list of hot keys has at most one key
     for some HOT rows and is broadcast if its checked size allows; beyond that the join is left to AQE. Neither side
     is ever broadcast, whatever the plan's size estimate says: estimates behind a checkpoint or an explode are far too low.
-    rows should be cheap to read again (a checkpoint or a table).
+    rows should be cheap to read again (a checkpoint or a table). most: how many rows there are at most, if that is known; with
+    fewer than HOT no key can be hot, and nothing is looked at.
     """
+    if most is not None and most < HOT:
+        return rows.join(small.hint("merge"), on, how)
     share = 0.01
     seen = rows.select(*on).sample(share, 7)
     if seen.limit(int(HOT * share) + 1).count() <= HOT * share:  # too few rows for any key to be hot
