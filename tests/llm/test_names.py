@@ -98,6 +98,26 @@ def test_index_finds_all_pairs_within_its_reach(spark):
     assert len(want) > 150 and not want - got
 
 
+def test_index_finds_all_pairs_of_single_words_and_with_support(spark):
+    """Run together with an edit in each word or three with support, and a common word: none of the pairs that the alignment takes is lost."""
+    rng = random.Random(8)
+    word = lambda n=7: "".join(rng.choice("abcdefg") for _ in range(n))
+    twice = lambda a: edit(rng, edit(rng, a))
+    names = [["common", word()] for _ in range(2 * N.COMMON)] + [["lomg" + "o" * 40, word()]]
+    for k in range(60):
+        a, b = "common" if k % 3 == 0 else word(rng.choice([3, 4, 6, 9])), word(rng.choice([3, 4, 6, 9]))
+        names += [[a, b], [edit(rng, a) + edit(rng, b)], [twice(b) + a], [twice(b + a)], [edit(rng, twice(a + b))], [a[:-1] + b[0] + a[-1] + edit(rng, b[1:] + "a")]]
+        names += [[a, b, "abc"], [twice(a + b + "abc")], [word(5)], [w := word(rng.choice([4, 6, 8]))], [twice(w)], [edit(rng, twice(w))]]
+    names += [[twice(names[2 * N.COMMON][0]) + names[2 * N.COMMON][1]]]
+    initials = ["ab" if len(n) == 1 and i % 5 == 0 else "" for i, n in enumerate(names)]
+    forms = spark.createDataFrame([("startups", i, n, s, len(n)) for i, (n, s) in enumerate(zip(names, initials, strict=True))], "tab string, fid long, core array<string>, initials string, n int")
+    for sure in (False, True):
+        shared = [("startups", i, "D1") for i in range(len(names))] if sure else []
+        got = {(r.a, r.b) for r in N.candidates(forms, spark.createDataFrame(shared, "tab string, fid long, key string")).collect()}
+        want = {(i, j) for i, a in enumerate(names) for j, b in enumerate(names) if i < j and N.aligned(a, b, initials[i], initials[j], sure)}
+        assert len(want) > 400 and not want - got
+
+
 def table(spark, data):
     return spark.createDataFrame([(t, i, n, leg, w, None, s, "extra") for t, i, n, leg, w, s in data], "tab string, id long, name string, legal string, website string, crunchbase string, seen string, entity string")
 
