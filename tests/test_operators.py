@@ -111,6 +111,21 @@ def test_matched_stages(spark, rows):
     assert [(n, i, s) for n, i, s, _ in rows(fuzzy.matched(names, known))] == [("ACME TEKNOLOJİ", 1, "exact"), ("Partners Borealis Capitl", 3, "tokens"), ("the Borealis Capital Partners group of Ankara", 3, "partial")]
 
 
+def test_candidates_meet_by_whole_pieces(spark, monkeypatch):
+    """Pairs with all edits in one place, and texts with any kind of blank; few others, even where most texts share a word."""
+    rng = random.Random(9)
+    word = lambda n=6: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    left = {f"{word()} {word()} capital" for _ in range(300)}
+    right = {x[:4] + word(2) + x[5:] for x in left} | {f"capital {word()} {word()}" for _ in range(300)} | {x[3:17] for x in left}
+    l, r = (spark.createDataFrame([(x,) for x in sorted(s)], f"{c} string") for s, c in ((left, "l"), (right, "r")))
+    for whole, score in ((True, fuzzy.ratio), (False, fuzzy.partial)):
+        got = {tuple(x) for x in fuzzy.candidates(l, r, 88, whole).collect()}
+        want = {(a, b) for a in left for b in right if score(a, b) >= 88}
+        assert len(want) >= 300 and want <= got and (not whole or len(got) < 4 * len(want))
+    known, names = spark.createDataFrame([(1, "Finans\u00a0Ditobi Mertovi")], "id long, label string"), spark.createDataFrame([("Ditobi Mertovi Finans",)], "name string")
+    assert fuzzy.matched(names, known, 99, None).first().id == 1
+
+
 def test_keywords(spark, rows):
     df = spark.createDataFrame([("The Payment fraud engine detects payment fraud",), (None,), ("",)], "t string")
     got = [set(r[0] or []) for r in df.select(keywords.learned(F.col("t"))).collect()]
