@@ -118,6 +118,20 @@ def test_index_finds_all_pairs_of_single_words_and_with_support(spark):
         assert len(want) > 400 and not want - got
 
 
+@pytest.mark.parametrize("common", [0, 3])
+def test_common_words_lose_no_partner(spark, monkeypatch, common):
+    """However few names make a word common, one that is run together with it, with two edits, finds each of them."""
+    monkeypatch.setattr(N, "COMMON", common)
+    rng = random.Random(10)
+    words = ["".join(rng.choice("abcdefg") for _ in range(rng.choice([3, 5, 7]))) for _ in range(12)]
+    names = [["merkur", w] for w in words] + [["merkur", edit(rng, w)] for w in words]
+    names += [[edit(rng, w) + edit(rng, "merkur")] for w in words] + [["merkur" + edit(rng, edit(rng, w))] for w in words] + [["merkur", w, "abc"] for w in words] + [[edit(rng, "merkur" + w) + "acb"] for w in words]
+    forms = spark.createDataFrame([("startups", i, n, "", len(n)) for i, n in enumerate(names)], "tab string, fid long, core array<string>, initials string, n int")
+    got = {(r.a, r.b) for r in N.candidates(forms, spark.createDataFrame([], "tab string, fid long, key string")).collect()}
+    want = {(i, j) for i, a in enumerate(names) for j, b in enumerate(names) if i < j and N.aligned(a, b)}
+    assert len(want) > 60 and not want - got
+
+
 def table(spark, data):
     return spark.createDataFrame([(t, i, n, leg, w, None, s, "extra") for t, i, n, leg, w, s in data], "tab string, id long, name string, legal string, website string, crunchbase string, seen string, entity string")
 
