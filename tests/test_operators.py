@@ -126,6 +126,26 @@ def test_candidates_meet_by_whole_pieces(spark, monkeypatch):
     assert fuzzy.matched(names, known, 99, None).first().id == 1
 
 
+def test_placed_pieces_lose_nothing_and_meet_few():
+    """Every pair within reach shares a piece at its place; texts with one common word at other places share none."""
+    rng = random.Random(12)
+    for t, kept in ((0.75, 400), (0.8, 400), (0.88, 300), (0.95, 150)):
+        cut, within = (dict(fuzzy._placed(t, c, True)) for c in (True, False))
+        keys = lambda places, x: {(k, x[p : p + q]) for k, p, q in places[len(x)]}
+        n = 0
+        for _ in range(1500):
+            b = a = "".join(rng.choice("abc") for _ in range(rng.randrange(1, fuzzy.PLACED - 12)))
+            for _ in range(rng.randrange(12)):
+                i = rng.randrange(len(b) + 1)
+                b = b[:i] + rng.choice(["", "a", "bc", "c"]) + b[i + rng.randrange(2) :]
+            a, b = (a, b) if len(a) >= len(b) else (b, a)
+            if b and len(a) <= fuzzy.PLACED and fuzzy.ratio(a, b) >= 100 * t:
+                n += 1
+                assert keys(cut, a) & keys(within, b), (t, a, b)
+        assert n >= kept
+        assert not keys(cut, "capital goberdi homarfun") & keys(within, "bitemke capital zyxzyxzy") or t < 0.8
+
+
 def test_keywords(spark, rows):
     df = spark.createDataFrame([("The Payment fraud engine detects payment fraud",), (None,), ("",)], "t string")
     got = [set(r[0] or []) for r in df.select(keywords.learned(F.col("t"))).collect()]
