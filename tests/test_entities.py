@@ -61,6 +61,25 @@ def test_repairs_by_the_names_in_news(spark, rows):
     assert {(r.key, r.startup_id) for r in found.collect()} == {(10, 1), (10, 2), (12, 1)}
 
 
+def test_names_in_news_of_any_length_and_with_errors(spark):
+    """Links by tokens and by part of names shorter and longer than those that meet by places, against all pairs."""
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("abdegiklmnorstuvyz") for _ in range(n)).title()
+    long = word(fuzzy.PLACED)
+    known = [(i, f"{word(6)} {word(8)}") for i in range(20)] + [(50, f"{long} {word(9)}"), (51, f"{word(fuzzy.PLACED - 8)} {word(7)}"), (52, "Ab Cd")]
+    typo = lambda x, k: x[:k] + "x" + x[k + 1 :]
+    news = [(100 + i, typo(n, 3) if i % 2 else f"{n}na", None) for i, n in known] + [(200, f"{long[:40]}{long[41:]} Xyz", None)]
+    found = {(r.key, r.startup_id) for r in E.rematched(E._texts_of(spark.createDataFrame(news, "id long, headline string, summary string")), "id", "text", spark.createDataFrame(known, "id long, label string")).collect()}
+    low = {i: n.lower() for i, n in known}
+    for k, text, _ in news:
+        scores = {i: fuzzy.token_sort(text.lower(), n) for i, n in low.items()}
+        best = max(scores, key=lambda i: (scores[i], -i))
+        want = {best} if scores[best] >= 88 else {i for i, n in low.items() if fuzzy.partial(text.lower(), n) >= 92 and i == min(j for j, m in low.items() if fuzzy.partial(text.lower(), m) >= 92)}
+        assert {i for q, i in found if q == k} == want, text
+    assert len(found) > 15
+    assert {len(n) > fuzzy.PLACED for n in low.values()} == {False, True}
+
+
 def test_scan_state_moves_on(spark, rows):
     state = spark.createDataFrame([("a", "2024-03-01"), ("b", None), ("c", "2024-03-01")], "source_name string, backfill_pointer string")
     page = spark.createDataFrame([("a", "2024-02-20"), ("a", "2024-02-10"), ("a", "2024-03-05"), ("c", "2024-03-01"), (None, "2020-01-01"), ("b", None)], "source_name string, day string")
