@@ -46,6 +46,18 @@ def test_similar_profiles_against_all_pairs(spark):
         assert {k: sorted(v) for k, v in got.items()} == want
 
 
+def test_similar_profiles_compare_only_rows_within_reach(spark):
+    """Rows in several parts and blocks, among them ties at the k-th place and letters that share a number, against all pairs."""
+    rng = random.Random(14)
+    rows = [(i, f"n{i}", " ".join(rng.choice(["data", "ağaç", "crop", "🙂ute", "tax"]) for _ in range(5))) for i in range(90)] + [(300 + i, f"m{i}", "data crop tax data crop") for i in range(15)]
+    df = spark.createDataFrame(rows, "id long, name string, text string")
+    got = {}
+    for r in E.similar(df.filter("id % 20 = 0"), df, 60, 10, 3, 20).collect():
+        got.setdefault(r.id, []).append((-r.score, r.other))
+    want = {i: sorted((-round(fuzzy.token_sort(t, u), 3), j) for j, m, u in rows if m != n and fuzzy.token_sort(t, u) >= 60)[:10] for i, n, t in rows if i % 20 == 0}
+    assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in want.items() if v}
+
+
 def test_tags_corrected(spark, rows):
     index = spark.createDataFrame([("pay", "fraud", 3.0), ("farm", "crop", 2.0)], "tag string, keyword string, weight double")
     docs = spark.createDataFrame([(1, "crop yields", "pay"), (2, "fraud", "pay"), (3, "nothing", "pay"), (4, None, "pay")], "id long, description string, tag string")
