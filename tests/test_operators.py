@@ -146,6 +146,20 @@ def test_placed_pieces_lose_nothing_and_meet_few():
         assert not keys(cut, "capital goberdi homarfun") & keys(within, "bitemke capital zyxzyxzy") or t < 0.8
 
 
+def test_names_with_a_common_word_make_no_work_for_each_other(spark):
+    """The search itself drops every pair that shares a word, or letters, but misses the similarity."""
+    rng = random.Random(13)
+    word = lambda n: "".join(rng.choice("abcdefghijkl") for _ in range(n))
+    left = {f"girisim {word(6)} {word(7)}" for _ in range(150)} | {"a", "ab" * 32, "b" * 70}
+    right = {x[:9] + word(3) + x[12:] for x in left} | {x[:10] + x[12:] for x in left} | {f"girisim {word(6)} {word(7)}" for _ in range(150)} | {"ab" * 31 + "c"} - {""}
+    l, r = (spark.createDataFrame([(x,) for x in sorted(s)], f"{c} string") for s, c in ((left, "l"), (right, "r")))
+    for least in (70, 80, 88):
+        got = fuzzy.candidates(l, r, least).collect()
+        want = {(a, b) for a in left for b in right if fuzzy.ratio(a, b) >= least}
+        short = lambda pairs: {(a, b) for a, b in pairs if max(len(a), len(b)) <= 64}
+        assert short(got) == short(want) and want <= set(got) and len(got) == len(set(got)) and len(want) > 200, least
+
+
 def test_keywords(spark, rows):
     df = spark.createDataFrame([("The Payment fraud engine detects payment fraud",), (None,), ("",)], "t string")
     got = [set(r[0] or []) for r in df.select(keywords.learned(F.col("t"))).collect()]
