@@ -160,6 +160,22 @@ def test_names_with_a_common_word_make_no_work_for_each_other(spark):
         assert short(got) == short(want) and want <= set(got) and len(got) == len(set(got)) and len(want) > 200, least
 
 
+def test_texts_meet_in_blocks_without_a_broadcast(spark, monkeypatch):
+    """Tables of several blocks give what one block gives, and nothing is sent to the driver or by it."""
+    rng = random.Random(14)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    left = {f"{word(5)} {word(6)}" for _ in range(90)}
+    right = {x[:3] + word(1) + x[4:] for x in left} | {word(4) + x for x in left} | {word(80) + x + word(30) for x in list(left)[:9]}
+    l, r = (spark.createDataFrame([(x,) for x in sorted(s)], f"{c} string") for s, c in ((left, "l"), (right, "r")))
+    for name, n in (("BLOCK", 25), ("CHUNK", 50)):
+        monkeypatch.setattr(fuzzy, name, n)
+    for whole, score in ((True, fuzzy.ratio), (False, fuzzy.partial)):
+        df = fuzzy.candidates(l, r, 90, whole)
+        assert "Broadcast" not in df._jdf.queryExecution().toString()
+        got = [tuple(x) for x in df.collect()]
+        assert len(got) == len(set(got)) and {(a, b) for a in left for b in right if score(a, b) >= 90} <= set(got)
+
+
 def test_keywords(spark, rows):
     df = spark.createDataFrame([("The Payment fraud engine detects payment fraud",), (None,), ("",)], "t string")
     got = [set(r[0] or []) for r in df.select(keywords.learned(F.col("t"))).collect()]
