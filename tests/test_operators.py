@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -176,6 +177,45 @@ def test_texts_meet_in_blocks_without_a_broadcast(spark, monkeypatch):
         assert len(got) == len(set(got)) and {(a, b) for a in left for b in right if score(a, b) >= 90} <= set(got)
 
 
+def test_scanned_names_lose_nothing_and_meet_by_no_pieces(monkeypatch):
+    """Names of up to SCANNED letters are compared by bits: the same pairs as by pieces and as all against all; a piece that all share makes no pairs."""
+    rng = random.Random(15)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnoprstuvyzçğışöü") for _ in range(n))
+    left = [f"capital {word(6)} {word(rng.randrange(5, 34))}" for _ in range(120)] + ["a", "aaaaaaaaaaaa", "ab" * 20]
+    right = [x[: (i := rng.randrange(9, len(x) + 9) - 8)] + word(rng.randrange(3)) + x[i + 2 :] for x in left] + [f"capital {word(6)} {word(9)}" for _ in range(120)] + ["aaaaaaaaaaaaaa", "ab" * 19]
+    l, r = fuzzy._Texts(sorted(set(left))), fuzzy._Texts(sorted({*right} - {""}))
+    met, original = [0], fuzzy._met
+    monkeypatch.setattr(fuzzy, "_met", lambda c, s: (met.__setitem__(0, met[0] + len(i)) or (i, j) for i, j in original(c, s)))
+    for least in (80, 88):
+        want = {(a, b) for a in l.x for b in r.x if fuzzy.ratio(a, b) >= least}
+        assert len(want) > 60
+        for scanned, chunk in ((64, 1 << 18), (64, 50), (30, 1 << 18)):
+            monkeypatch.setattr(fuzzy, "SCANNED", scanned)
+            monkeypatch.setattr(fuzzy, "CHUNK", chunk)
+            met[0] = 0
+            got = [(l.x[i], r.x[j]) for x in fuzzy._pairs_of(l, r, least, True) for i, j in zip(*x, strict=True)]
+            assert len(got) == len(set(got)) and set(got) == want, (least, scanned)
+            assert (met[0] > 0) == (scanned == 30 and least >= fuzzy.SHORT)
+
+
+def test_bits_of_letters_differ_no_more_than_letters():
+    """With more letters than have numbers of their own and more repeats than are told apart."""
+    rng = random.Random(16)
+    some = [chr(97 + k) if k < 26 else chr(0x4E00 + k) for k in range(150)]
+    texts = lambda: ["".join(rng.choice(some[: rng.choice((3, 40, 150))]) for _ in range(rng.randrange(1, 40))) for _ in range(150)]
+    l, r = fuzzy._Texts(texts()), fuzzy._Texts(texts())
+    fuzzy._told(l, r)
+    near = 0
+    for a, p in zip(l.x, l.ones, strict=True):
+        for b, q in zip(r.x, r.ones, strict=True):
+            differ = Counter(a)
+            differ.subtract(b)
+            letters, bits = sum(map(abs, differ.values())), int(p ^ q).bit_count()
+            assert bits <= letters
+            near += bits >= letters - 2
+    assert near > 3000
+
+
 def test_keywords(spark, rows):
     df = spark.createDataFrame([("The Payment fraud engine detects payment fraud",), (None,), ("",)], "t string")
     got = [set(r[0] or []) for r in df.select(keywords.learned(F.col("t"))).collect()]
