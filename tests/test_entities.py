@@ -27,6 +27,18 @@ def test_report_lookup_against_all_pairs(spark):
     assert got == want and len(want) > 30
 
 
+def test_report_lookup_takes_hosts_at_any_place_and_of_any_length(spark):
+    """Hosts behind 4,000 letters of an address, of less than four letters, and of more than are compared at a place."""
+    far, long = "https://x.example/" + "p" * 5000 + "/", "h" * 73
+    sites = [(1, far + "wanted.example"), (2, "https://a.b/x"), (3, f"https://{long}.example"), (4, f"https://{long}"), (5, far + long + ".org/wanted.example"), (6, None), (7, "")]
+    hosts = [(10, "wanted.example"), (11, "a.b"), (12, long + ".org"), (13, long), (14, long + ".com"), (15, "b"), (16, ""), (17, None), (18, "é")]
+    got = {r.key: r.id for r in E.report_lookup(spark.createDataFrame([(k, None, h) for k, h in hosts], "key long, name string, host string"), spark.createDataFrame([(i, None, w) for i, w in sites], "id long, label string, website string")).collect()}
+    want = {k: min(fits) for k, h in hosts if h and (fits := [i for i, w in sites if w and h in w])}
+    assert got == want == {10: 1, 11: 2, 12: 5, 13: 3, 15: 2}
+    nobody = spark.createDataFrame([(1, None, None)], "key long, name string, host string")
+    assert E.report_lookup(nobody, spark.createDataFrame(sites, "id long, website string").withColumn("label", F.lit("n"))).collect() == []
+
+
 def test_similar_profiles_against_all_pairs(spark):
     rng = random.Random(4)
     words = ["data", "cloud", "crop", "route", "tax", "chat", "audit", "drone"]
