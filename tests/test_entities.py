@@ -3,11 +3,13 @@
 import json
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tessella.functions import region, scalars
-from tessella.operators import fuzzy, upsert
+from tessella.operators import fuzzy, nearest, upsert
 from tessella.plans import entities as E
 from tessella.plans.scalars import asof
 from tessella.sources import contracts, search
@@ -70,6 +72,43 @@ def test_similar_profiles_compare_only_rows_within_reach(spark):
     assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in want.items() if v}
 
 
+def test_nearest_compares_many_texts_at_once(monkeypatch):
+    """Texts about the lengths at which a further word of bits begins, names that are missing and texts of several names, against all pairs; only long texts are compared one by one."""
+    rng = random.Random(15)
+    text = lambda n: "".join(rng.choice("abcdeş🙂 ") for _ in range(n))
+    pool = [text(n) for n in (10, 30, 62, 63, 64, 65, 70, 126, 127, 128, 200, 600) for _ in range(3)]
+    pool += [t[:-5] + text(6) for t in pool]
+    name = lambda: rng.choice(["a", "b", None])
+    held = {}
+    for i in range(200):
+        held.setdefault((name(), rng.choice(pool)), []).append(i)
+    asked = sorted({(name(), t) for t in pool}, key=str)
+    queries = pd.DataFrame([(str(i).encode(), *a) for i, a in enumerate(asked)], columns=["h", "name", "text"])
+    rows = pd.DataFrame([(*a, np.array(ids[:3])) for a, ids in held.items()], columns=["name", "text", "ids"])
+    one, seen = fuzzy._lcs, []
+    monkeypatch.setattr(fuzzy, "_lcs", lambda m, n, b: seen.append(max(n, len(b))) or one(m, n, b))
+    monkeypatch.setattr(nearest, "HELD", 50)
+    got = {}
+    for h, other, score in nearest.nearest(3, 60, queries, rows).itertuples(index=False):
+        got.setdefault(h, []).append((-score, other))
+    assert seen and min(seen) > nearest.LONG
+    monkeypatch.undo()
+    for h, n, t in queries.itertuples(index=False):
+        want = sorted((-fuzzy.ratio(t, u), i) for (m, u), ids in held.items() if m != n for i in ids if fuzzy.ratio(t, u) >= 60)[:3]
+        assert got.get(h, []) == want
+
+
+def test_similar_profiles_written_alike(spark):
+    """Records with the same name and text, more of them than are kept, and names that are missing."""
+    rows = [(i, f"n{i % 2}" if i % 5 else None, "data crop tax route") for i in range(60)] + [(100 + i, "m", "data crop tax chat") for i in range(15)]
+    df = spark.createDataFrame(rows, "id long, name string, text string")
+    got = {}
+    for r in E.similar(df.filter("id % 20 = 0 or id = 7"), df, 60, 4).collect():
+        got.setdefault(r.id, []).append((-r.score, r.other))
+    want = {i: sorted((-round(fuzzy.token_sort(t, u), 3), j) for j, m, u in rows if m != n)[:4] for i, n, t in rows if i % 20 == 0 or i == 7}
+    assert {k: sorted(v) for k, v in got.items()} == want
+
+
 def test_tags_corrected(spark, rows):
     index = spark.createDataFrame([("pay", "fraud", 3.0), ("farm", "crop", 2.0)], "tag string, keyword string, weight double")
     docs = spark.createDataFrame([(1, "crop yields", "pay"), (2, "fraud", "pay"), (3, "nothing", "pay"), (4, None, "pay")], "id long, description string, tag string")
