@@ -1,7 +1,9 @@
 import random
+import time
 
 import pytest
 
+from tessella import session
 from tessella.llm import names as N
 
 PARSED = [
@@ -247,3 +249,26 @@ def test_recall_against_all_pairs_of_a_whole_table(spark):
     pairs = [(a, b) for g in parts.values() for a in g for b in g if a < b]
     found = sum(got[a] == got[b] or p[a]["sub"] + p[a]["legal_sub"] != p[b]["sub"] + p[b]["legal_sub"] for a, b in pairs)
     assert len(pairs) > 100 and found >= 0.97 * len(pairs)
+
+
+def test_shuffle_files_go_with_their_step(spark):
+    """What a step has shuffled is gone from the disk after its checkpoint, not only when the session ends."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        x, out = disk.getAllFiles().iterator(), set()
+        while x.hasNext():
+            out.add(x.next().getName())
+        return {n for n in out if n.startswith("shuffle_")}
+
+    before = files()
+    df = session.checkpointed(spark.range(1000).repartition(7))
+    own = files() - before
+    for _ in range(50):
+        session.released(spark)
+        if not own & files():
+            break
+        time.sleep(0.1)
+    assert own
+    assert not own & files()
+    assert df.count() == 1000
